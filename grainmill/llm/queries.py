@@ -7,18 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainmill.llm import simhash
+from grainmill.llm import packing, quality, secrets, simhash
 from grainmill.llm.common import read_table
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, with those behind encodings."""
+    return secrets.secret_spans(read_table(spark, sf_dir, "documents"))
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document from positive-unlabelled learning."""
+    return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash class of every document: fingerprint and smallest reachable doc_id."""
     out = simhash.simhash_components(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document's pieces in sequences of at most 4096 ids."""
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
+    "op3_quality_classifier": op3_quality_classifier,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op7_best_fit_packing": op7_best_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
