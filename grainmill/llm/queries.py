@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainmill.llm import packing, quality, secrets, simhash
+from grainmill.llm import html, packing, quality, secrets, simhash
 from grainmill.llm.common import read_table
 
 
@@ -32,11 +32,17 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract_text(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op3_quality_classifier": op3_quality_classifier,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLE_SQL: dict[str, str] = {}
