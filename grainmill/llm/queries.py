@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainmill.llm import html, packing, quality, secrets, simhash
+from grainmill.llm import embeddings, html, packing, quality, secrets, simhash, topk
 from grainmill.llm.common import read_table
 
 
@@ -16,6 +16,11 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(read_table(spark, sf_dir, "documents"))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and keeper of every embedding at cosine 0.9."""
+    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document from positive-unlabelled learning."""
     return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -27,6 +32,11 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest 64-bit codes of every fiftieth embedding, among all."""
+    return topk.nearest_codes(read_table(spark, sf_dir, "embeddings"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every document's pieces in sequences of at most 4096 ids."""
     return packing.pack(read_table(spark, sf_dir, "documents"))
@@ -39,8 +49,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_quality_classifier": op3_quality_classifier,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_exact_top_k": op6_exact_top_k,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op10_html_extraction": op10_html_extraction,
 }
