@@ -28,7 +28,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainmill.llm.common import batches, materialize, ship, text_or_empty
@@ -181,29 +181,49 @@ def fit(data: DataFrame) -> tuple[np.ndarray, float] | None:
     return _newton(data, prior, n_p, n_u), prior
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(doc_id, held_out, score, predicted)`` of every document."""
+def _held_out() -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+
+
+def _learn(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, np.ndarray | None]:
+    """``(doc_id, x)`` of every document and the margin's weights; None without positives."""
     ship(docs.sparkSession)
-    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(_featurise, "doc_id long, x array<float>")
     x = materialize(rows, "features")
-    good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).where(~held_out).distinct().withColumn("positive", F.lit(True))
-    train = materialize(x.where("doc_id is not null").where(~held_out).join(good, "doc_id", "left").select("x", F.coalesce("positive", F.lit(False)).alias("positive")), "train")
+    good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).where(~_held_out()).distinct().withColumn("positive", F.lit(True))
+    train = materialize(x.where("doc_id is not null").where(~_held_out()).join(good, "doc_id", "left").select("x", F.coalesce("positive", F.lit(False)).alias("positive")), "train")
     model = fit(train)
-    theta = None if model is None else model[0]
+    return x, None if model is None else model[0]
+
+
+def _scores(x: np.ndarray, theta: np.ndarray | None) -> np.ndarray:
+    return np.ones(len(x)) if theta is None else 1 / (1 + np.exp(-np.clip(x @ theta, -40, 40)))
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(doc_id, held_out, score, predicted)`` of every document."""
+    x, theta = _learn(docs, labels)
 
     def score(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            if not b.num_rows:
-                continue
-            s = np.ones(b.num_rows) if theta is None else 1 / (1 + np.exp(-np.clip(_matrix(b) @ theta, -40, 40)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s)], ["doc_id", "score"])
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_scores(_matrix(b), theta))], ["doc_id", "score"])
 
     out = x.mapInArrow(score, "doc_id long, score double")
-    return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return out.select("doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier does not reject; all columns, rows without a doc_id stay."""
-    bad = quality_scores(docs, labels).where("predicted = 0").select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col("doc_id") == F.col("__bad"), "left_anti")
+    """The documents that the classifier does not reject, with all their columns.
+
+    Features are taken a second time where the texts lie: that costs a pass over the texts and
+    spares shuffling them to join the scores on.
+    """
+    _, theta = _learn(docs, labels)
+
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        x = [features(t) for t in texts.cast(pa.binary()).to_pylist()]
+        return pa.array(_scores(np.array(x, np.float32).astype(np.float64).reshape(-1, DIMS), theta))
+
+    return docs.where(score(text_or_empty()) >= THRESHOLD)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainmill.llm import embeddings, html, packing, quality, secrets, simhash, topk
+from grainmill.llm import embeddings, html, packing, quality, secrets, simhash, tokenio, topk
 from grainmill.llm.common import read_table
 
 
@@ -42,6 +42,11 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op8_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document through token-id files and back."""
+    return tokenio.token_round_trip(read_table(spark, sf_dir, "documents"))
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html.extract_text(read_table(spark, sf_dir, "pages"))
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_token_id_output": op8_token_id_output,
     "op10_html_extraction": op10_html_extraction,
 }
 

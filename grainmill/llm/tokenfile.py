@@ -25,7 +25,7 @@ import zlib
 
 import numpy as np
 
-MAGIC, BLOCK, SLOTS = b"GMTOK\x01", 4096, 2048
+MAGIC, BLOCK, SLOTS = b"GMTOK\x01", 2048, 512
 _TOP, _BOT = np.uint64(1 << 48), np.uint64(1 << 40)
 _U = np.uint64
 _EMPTY = 0xFFFF
@@ -58,41 +58,43 @@ class _Model:
     """State of all blocks: guesses, confidences and mixing weights."""
 
     def __init__(self, lanes: int, used: np.ndarray, freq: np.ndarray):
-        self.lanes = lanes
         self.base = np.arange(lanes, dtype=np.int64) * SLOTS
-        self.lane = np.arange(lanes, dtype=np.int64)
-        self.t2 = np.full(lanes * SLOTS, _EMPTY, np.int32)
+        self.lane = np.arange(lanes, dtype=np.int64) * 16
+        self.t2 = np.full(lanes * SLOTS, _EMPTY, np.int32)  # id | confidence << 16
         self.t1 = np.full(lanes * SLOTS, _EMPTY, np.int32)
         self.wa = np.full(16 * lanes, 8192, np.int32)
         self.wb = np.full(16 * lanes, 8192, np.int32)
         self.p1 = np.zeros(lanes, np.int64)
-        self.p2 = np.zeros(lanes, np.int64)
-        self.freq0, self.cum0 = np.zeros(65537, _U), np.zeros(65537, _U)
-        self.freq0[used] = freq
-        self.cum0[1:65536] = np.cumsum(self.freq0[:65535])
-        self.freq0[65536] = 65536  # what a held guess leaves to order 0: everything
-        self.slot = np.repeat(used.astype(np.int32), freq)
+        self.h2 = np.zeros(lanes, np.int64)
+        f = np.zeros(65537, _U)
+        f[used] = freq
+        self.order0 = f.copy()  # cumulative << 32 | frequency
+        self.order0[1:65536] |= np.cumsum(f[:65535]) << _U(32)
+        self.order0[65536] = 65536  # what a held guess leaves to order 0: everything
+        self.slot = np.repeat(used.astype(np.uint16), freq)
 
     def guess(self, n: int) -> None:
         """Guesses and weights for the first ``n`` blocks."""
-        p1, p2 = self.p1[:n], self.p2[:n]
-        self.i1 = self.base[:n] + ((p1 * 40503 >> 4) & (SLOTS - 1))
-        self.i2 = self.base[:n] + ((p1 * 28001 + p2 * 50333 >> 5) & (SLOTS - 1))
+        p1, base = self.p1[:n], self.base[:n]
+        h1 = p1 * 40503
+        self.i1 = (h1 >> 5 & (SLOTS - 1)) + base
+        self.i2 = (h1 + self.h2[:n] >> 6 & (SLOTS - 1)) + base
+        self.h2[:n] = p1 * 50333
         self.e1, self.e2 = self.t1.take(self.i1), self.t2.take(self.i2)
         self.g1, self.g2 = self.e1 & 0xFFFF, self.e2 & 0xFFFF
-        self.ctx = ((self.e2 >> 16) * 4 + (self.e1 >> 16)) * np.int64(self.lanes) + self.lane[:n]
+        self.ctx = self.lane[:n] + ((self.e2 >> 14 & 12) + (self.e1 >> 16))
         self.sa, self.sb = self.wa.take(self.ctx), self.wb.take(self.ctx)
-        self.a = 32 + (self.sa * 4000 >> 16)
-        self.ab = self.a + 1 + ((4064 - self.a) * self.sb >> 16)
+        self.a = (self.sa * 4000 >> 16) + 32
+        self.ab = ((4064 - self.a) * self.sb >> 16) + self.a + 1
 
     def learn(self, n: int, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
+        """``hit2``, ``hit1``: 1 where that guess was coded as held."""
         self.wa[self.ctx] = self.sa + ((hit2 * 65535 - self.sa) >> 5)
-        self.wb[self.ctx] = self.sb + np.where(hit2, 0, (hit1 * 65535 - self.sb) >> 5)
-        for table, at, e, guess in ((self.t2, self.i2, self.e2, self.g2), (self.t1, self.i1, self.e1, self.g1)):
-            held = np.minimum(e + 65536, ids | 0x30000)
-            lost = np.where(e < 0x20000, ids, e - 65536)
-            table[at] = np.where(guess == ids, held, lost)
-        self.p2[:n] = self.p1[:n]
+        self.wb[self.ctx] = self.sb + ((hit1 * 65535 - self.sb) * (1 - hit2) >> 5)
+        for table, at, e, g in ((self.t2, self.i2, self.e2, self.g2), (self.t1, self.i1, self.e1, self.g1)):
+            e = e + ((g == ids).astype(np.int32) * 131072 - 65536)
+            np.minimum(e, g + 0x30000, out=e)
+            table[at] = np.where(e < 0, ids, e)
         self.p1[:n] = ids
 
 
@@ -117,16 +119,17 @@ def encode_ids(ids: np.ndarray, used: np.ndarray, freq: np.ndarray) -> list[byte
         n = lanes if t < last else lanes - 1
         m.guess(n)
         x = grid[t, :n]
-        hit2 = m.g2 == x
-        hit1 = (m.g1 == x) & ~hit2
-        start = np.where(hit2, 0, np.where(hit1, m.a, m.ab))
-        width = np.where(hit2, m.a, np.where(hit1, m.ab - m.a, 4096 - m.ab))
-        at0 = np.where(hit2 | hit1, 65536, x)
+        hit2 = (m.g2 == x).astype(np.int32)
+        hit1 = (m.g1 == x) * (1 - hit2)
+        miss = 1 - hit2 - hit1
+        start = m.a * hit1 + m.ab * miss
+        width = m.a * hit2 + m.ab * hit1 + 4096 * miss - start
+        order0 = m.order0.take((x - 65536) * miss + 65536)
         r = rng[:n] >> _U(12)
         lo = low[:n] + r * start.astype(_U)
         r = (r * width.astype(_U)) >> _U(16)
-        lo += r * m.cum0.take(at0)
-        r *= m.freq0.take(at0)
+        lo += r * (order0 >> _U(32))
+        r *= order0 & _U(0xFFFFFFFF)
         low[:n], rng[:n] = lo, r
         m.learn(n, x, hit2, hit1)
         todo = np.flatnonzero(((lo ^ (lo + r - _U(1))) < _TOP) | (r < _BOT))
@@ -166,18 +169,19 @@ def decode_ids(blocks: list[bytes], total: int, used: np.ndarray, freq: np.ndarr
         lo = low[:n]
         d = code[:n] - lo
         a, ab = m.a.astype(_U), m.ab.astype(_U)
-        hit2 = d < a * r
-        guessed = d < ab * r
-        hit1 = guessed & ~hit2
-        start = np.where(hit2, _U(0), np.where(hit1, a, ab))
-        width = np.where(hit2, a, np.where(hit1, ab - a, _U(4096) - ab))
+        hit2 = (d < a * r).astype(np.int32)
+        hit1 = (d < ab * r) - hit2
+        miss = 1 - hit2 - hit1
+        u2, u1, u0 = hit2.astype(_U), hit1.astype(_U), miss.astype(_U)
+        start = a * u1 + ab * u0
+        width = a * u2 + ab * u1 + (u0 << _U(12)) - start
         lo = lo + r * start
         r = (r * width) >> _U(16)
         v = np.minimum((code[:n] - lo) // r, _U(65535)).astype(np.int64)
-        x = np.where(hit2, m.g2, np.where(hit1, m.g1, m.slot.take(v)))
-        at0 = np.where(guessed, 65536, x)
-        lo += r * m.cum0.take(at0)
-        r *= m.freq0.take(at0)
+        x = m.g2 * hit2 + m.g1 * hit1 + m.slot.take(v) * miss
+        order0 = m.order0.take((x - 65536) * miss + 65536)
+        lo += r * (order0 >> _U(32))
+        r *= order0 & _U(0xFFFFFFFF)
         low[:n], rng[:n] = lo, r
         grid[t, :n] = x
         m.learn(n, x, hit2, hit1)

@@ -15,8 +15,8 @@ import re
 
 import numpy as np
 
-#: Chunks kept per Python worker, some 100 MB; the table is emptied when it is full.
-CACHE = 500_000
+#: Chunks and words kept per Python worker, some 300 MB; a table is emptied when it is full.
+CACHE, WORDS = 700_000, 900_000
 
 _PARTS = re.compile(r"[a-z\x80-ɏ]+|[0-9]|[^a-z0-9\x80-ɏ]+")
 _LETTERS = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+")
@@ -82,7 +82,7 @@ class IdEncoder:
                 out.append(join(map(get, t.lower().split())))
         if len(self.table) > CACHE:
             self.table.clear()
-        if len(self.words) > CACHE:
+        if len(self.words) > WORDS:
             self.words.clear()
         return out
 
