@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainmill.llm import embeddings, html, packing, quality, secrets, simhash, tokenio, topk
+from grainmill.llm import embeddings, html, licenses, packing, pieces, quality, secrets, simhash, tokenio, topk
 from grainmill.llm.common import read_table
 
 
@@ -26,6 +26,11 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence texts and notices in every document."""
+    return licenses.license_spans(read_table(spark, sf_dir, "documents"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash class of every document: fingerprint and smallest reachable doc_id."""
     out = simhash.simhash_components(read_table(spark, sf_dir, "documents"))
@@ -47,6 +52,11 @@ def op8_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenio.token_round_trip(read_table(spark, sf_dir, "documents"))
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document through the piece transducer and back."""
+    return pieces.encode_decode(read_table(spark, sf_dir, "documents"))
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html.extract_text(read_table(spark, sf_dir, "pages"))
@@ -56,10 +66,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_license_scan": op4_license_scan,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_token_id_output": op8_token_id_output,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_html_extraction": op10_html_extraction,
 }
 
