@@ -211,8 +211,8 @@ def write_file(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray) -
             np.array([len(b) for b in blocks], "<u4").tobytes(), np.array(crcs, "<u4").tobytes(),
         ]), 1,
     )
-    head = _HEAD.pack(MAGIC, len(doc_ids), len(blocks), len(ids), len(table), zlib.crc32(table))
-    return b"".join([head, table, *blocks])
+    head = _HEAD.pack(MAGIC, len(doc_ids), len(blocks), len(ids), len(table), 0)[:-4]
+    return b"".join([head, zlib.crc32(table, zlib.crc32(head)).to_bytes(4, "little"), table, *blocks])
 
 
 def read_file(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
@@ -222,7 +222,7 @@ def read_file(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     except struct.error as e:
         raise Corrupt("short header") from e
     raw = data[_HEAD.size : _HEAD.size + size]
-    if magic != MAGIC or zlib.crc32(raw) != crc:
+    if magic != MAGIC or zlib.crc32(raw, zlib.crc32(data[: _HEAD.size - 4])) != crc:
         raise Corrupt("header")
     table, at = zlib.decompress(raw), 0
 
