@@ -56,8 +56,12 @@ def first_object(text: str) -> str | None:
 
 
 def variant(c: Column) -> Column:
-    """Parsed value if the text is one JSON object with a claims list; else null."""
-    v = F.try_parse_json(c)
+    """Parsed value if the text is one JSON object with a claims list; else null.
+
+    Spark's parser ignores what follows a value; inside brackets, that is an error.
+    """
+    one = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))), "$", "array<variant>")
+    v = F.when(F.size(one) == 1, F.get(one, 0))
     ok = F.startswith(F.schema_of_variant(v), F.lit("OBJECT")) & F.try_variant_get(v, "$.claims", "array<variant>").isNotNull()
     return F.when(ok, v)
 

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types
 
 _DASHES = "[\\u2010-\\u2015\\u2212]"
 NUMBER = r"\d+(?:\.\d+)?"
@@ -32,10 +33,10 @@ def col(c: Column | str) -> Column:
 
 
 def arrow(kind: str):
-    """An Arrow UDF that maps one value at a time and keeps nulls."""
+    """An Arrow UDF that maps one value at a time and keeps nulls; needs no session to be defined."""
 
     def wrap(f):
-        @F.arrow_udf(kind)
+        @F.arrow_udf(_TYPES[kind])
         def run(a: pa.Array) -> pa.Array:
             return pa.array([None if x is None else f(x) for x in a.to_pylist()], _ARROW[kind])
 
@@ -44,7 +45,8 @@ def arrow(kind: str):
     return wrap
 
 
-_ARROW = {"string": pa.string(), "double": pa.float64(), "int": pa.int32(), "array<string>": pa.list_(pa.string())}
+_TYPES = {"string": types.StringType(), "double": types.DoubleType()}
+_ARROW = {"string": pa.string(), "double": pa.float64()}
 
 
 def normalize_ws(c: Column | str) -> Column:
@@ -241,7 +243,7 @@ def fold_accents(s: str) -> str:
     return " ".join("".join(ch if ch.isascii() and ch.isalnum() else " " for ch in s).split())
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(types.DoubleType())
 def title_similarity(a: pa.Array, b: pa.Array) -> pa.Array:
     """Containment: 0.75 or the ratio of lengths; else the matching-blocks ratio."""
     out = []

@@ -118,7 +118,8 @@ def version_matrix(reports: DataFrame, versions: list[str]) -> DataFrame:
     The versions are a stated list; reports of others are left out. Ids starting ``h-`` come first.
     """
     wide = reports.where(F.col("version").isin(versions)).groupBy("id").pivot("version", versions).agg(F.first("failure_mode"))
-    return wide.na.fill("—", versions).orderBy(~F.startswith("id", F.lit("h-")), "id")
+    cells = [F.coalesce(F.col(f"`{v}`"), F.lit("—")).alias(v) for v in versions]
+    return wide.select("id", *cells).orderBy(~F.startswith("id", F.lit("h-")), "id")
 
 
 def natural_version(c: Column) -> Column:
