@@ -154,3 +154,18 @@ def probe(rows: DataFrame, client: Callable[[str], tuple[int, bytes]], most: int
             yield pd.DataFrame(out, columns=["id", "url", "status", "ok", "followed"]).astype({"status": "Int64"})
 
     return rows.select("id", "url").mapInPandas(run, "id string, url string, status long, ok boolean, followed long")
+
+
+TIER_LABELS = {"publisher_oa": "publisher_pdf", "repository_oa": "repository_copy", "operator": "operator_choice", "unknown": "unverified"}
+
+
+def extract_rows(selected: DataFrame) -> DataFrame:
+    """Extraction records of selected locations: a hashed id, a label by access tier, a status.
+
+    ``selected``: doi, url, host_type, selection, score, ok.
+    """
+    from grainmill.operators.generate import mapped
+
+    tier = access_tier(F.col("selection"), F.col("host_type"))
+    meta = F.struct(mapped(tier, TIER_LABELS).alias("label"), tier.alias("access_tier"), F.col("host_type"), F.col("selection").alias("url_selection"), F.col("score").alias("url_selection_score"))
+    return selected.select(F.concat(F.lit("oa-"), F.left(F.sha2("url", 256), F.lit(16))).alias("id"), F.lit("source_pdf_extract").alias("task"), "url", "doi", meta.alias("meta"), F.struct(F.when(F.col("ok"), "pdf_verified").otherwise("pending").alias("fetch_status")).alias("output"))
