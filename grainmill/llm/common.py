@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _SHIPPED: set[str] = set()
 _SCRATCH: dict[str, str] = {}
 
@@ -24,7 +26,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once per application."""
+    """Send this package to the executors' Python workers, once per application.
+
+    Texts have no length bound, so Arrow batches of them should have few rows: where the session
+    still has Spark's default of 10,000 rows a batch, it gets ``BATCH_ROWS``.
+    """
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

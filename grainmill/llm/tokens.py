@@ -15,8 +15,8 @@ import re
 
 import numpy as np
 
-#: Chunks and words kept per Python worker, some 300 MB; a table is emptied when it is full.
-CACHE, WORDS = 700_000, 900_000
+#: Chunks and words per generation of a Python worker's tables, some 100 MB in all.
+CHUNKS, WORDS = 200_000, 250_000
 
 _PARTS = re.compile(r"[a-z\x80-ɏ]+|[0-9]|[^a-z0-9\x80-ɏ]+")
 _LETTERS = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+")
@@ -39,6 +39,26 @@ def _byte_letters() -> dict[int, str]:
     return table
 
 
+class Kept(dict):
+    """Results by key in two generations: a full young one becomes the old one, whose entries are
+    taken over when they are met again. What is met often so stays, at a bounded size."""
+
+    def __init__(self, make, size: int):
+        self.make, self.size, self.old = make, size, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+    def age(self) -> None:
+        if len(self) > self.size:
+            self.old = dict(self)
+            self.clear()
+
+
 class IdEncoder:
     """Texts to ids, as little-endian unsigned 16-bit ids in bytes."""
 
@@ -49,8 +69,8 @@ class IdEncoder:
         self.lib = Tokenizer.from_file(path)
         if self.lib.get_vocab_size() > 65536:
             raise ValueError("ids of this tokenizer do not fit 16 bits")
-        self.table = _Table(self._chunk)
-        self.words: dict[str, bytes] = {}
+        self.table = Kept(self._chunk, CHUNKS)
+        self.words = Kept(self._word, WORDS)
         self.letters = _byte_letters()
         self.two = [i.to_bytes(2, "little") for i in range(65536)]
 
@@ -59,18 +79,15 @@ class IdEncoder:
 
     def _word(self, word: str) -> bytes:
         """Ids of one pre-token that the normaliser leaves as it is."""
-        known = self.words.get(word)
-        if known is None:
-            spelt = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
-            known = self.words[word] = b"".join([self.two[t.id] for t in self.lib.model.tokenize(spelt)])
-        return known
+        spelt = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
+        return b"".join([self.two[t.id] for t in self.lib.model.tokenize(spelt)])
 
     def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode("utf-8", "replace")
         if _LETTERS.fullmatch(text):
-            return self._word(text)
+            return self.words[text]
         if _PLAIN.fullmatch(text):
-            return b"".join(map(self._word, _PARTS.findall(text)))
+            return b"".join(map(self.words.__getitem__, _PARTS.findall(text)))
         return self.whole(text)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
@@ -80,24 +97,11 @@ class IdEncoder:
                 out.append(self.whole(t.decode("utf-8", "replace")))
             else:
                 out.append(join(map(get, t.lower().split())))
-        if len(self.table) > CACHE:
-            self.table.clear()
-        if len(self.words) > WORDS:
-            self.words.clear()
+            self.table.age()
+            self.words.age()
         return out
 
 
-class _Table(dict):
-    """Chunk to ids; a chunk met for the first time is encoded."""
-
-    def __init__(self, encode):
-        self.encode = encode
-
-    def __missing__(self, chunk: bytes) -> bytes:
-        self[chunk] = ids = self.encode(chunk)
-        return ids
-
-
 _ENCODERS: dict[str, IdEncoder] = {}
 
 
