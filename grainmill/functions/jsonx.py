@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from grainmill.functions.text import arrow, col, quote_in_excerpt
 
-VERDICTS = ("supported", "weak", "not_in_source", "contradicted", "insufficient_evidence")
+VERDICTS = tuple("contradicted insufficient_evidence not_in_source supported weak".split())
 CLAIM = "struct<claim:string,verdict:string,sourceQuotes:array<string>,rationale:array<string>,hasNumericClaim:boolean>"
 EXPECT = "struct<must_parse_json:boolean,min_claims:int,any_claim_verdict:array<string>,forbidden_claim_verdict:array<string>,all_claim_verdicts_in:array<string>,quotes_must_be_substrings:boolean>"
 
@@ -36,8 +36,8 @@ def repair(c: Column | str) -> Column:
     """The repair chain in its order; trailing commas go in one pass, which equals the fixpoint."""
     out = bare_object(c)
     for pattern, new in (
-        (r'(?U)("\w[\w\-]*")\s*\?\s*:', "$1:"),  # "key"?: of a type signature
-        (r'"\]\}\}\],\s*"overallVerdict"', '"]}], "overallVerdict"'),  # root closed too early
+        (r'(?U)("\w[\w-]*")\s*[?]\s*:', "$1:"),  # "key"?: of a type signature
+        (r'"\]\}{2}\],\s*"overallVerdict"', '"]}], "overallVerdict"'),  # root closed too early
         (r'"\}\],\s*"overallVerdict"', '"]}], "overallVerdict"'),  # list left open
         (r"(?U),(?:\s*,)*\s*([\]}])", "$1"),
     ):

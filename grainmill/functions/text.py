@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types
 
 _DASHES = "[\\u2010-\\u2015\\u2212]"
-NUMBER = r"\d+(?:\.\d+)?"
+NUMBER = r"\d+(?:[.]\d+)?"
 HEDGES = ("may", "might", "could", "suggest", "suggested", "possibly", "appears?", "seems?", r"hypothesiz\w*", "proposed", "preliminary", "limited", "unclear", "potential")
 HEDGE = rf"(?iU)\b(?:{'|'.join(HEDGES)})\b"
-METHODS_HEAD = r"(?iU)^(?:METHODS?|MATERIALS?|DESIGN|SETTING|PARTICIPANTS|OBJECTIVE|PURPOSE|BACKGROUND)\b"
+_HEADS = "background design materials? methods? objective participants purpose setting".split()
+METHODS_HEAD = rf"(?iU)^(?:{'|'.join(_HEADS)})\b"
 _RESULT_STEMS = ("results?", "found", "showed", r"demonstrat\w*", r"conclud\w*", "significant", "increased", "decreased")
 RESULTS = rf"(?iU)\b(?:{'|'.join(_RESULT_STEMS)})\b"
-YEAR = r"\b(?:19|20)\d{2}\b"
+YEAR = r"\b(?:19\d\d|20\d\d)\b"
 ET_AL = r"(?i)\bet\s+al\b"
 
 
@@ -74,7 +75,7 @@ def normalize_quote(c: Column | str, entities: bool = True) -> Column:
 
 def collapse_letter_spaces(c: Column | str) -> Column:
     """Join ASCII letters that one space parts."""
-    return F.regexp_replace(col(c), "(?<=[A-Za-z]) (?=[A-Za-z])", "")
+    return F.regexp_replace(col(c), "(?<=[A-Za-z])[ ](?=[A-Za-z])", "")
 
 
 def quote_in_excerpt(quote: Column | str, excerpt: Column | str) -> Column:
@@ -185,7 +186,8 @@ def flip_number(c: Column | str, last_start: int | None = None) -> Column:
 def mutate_number(c: Column | str, factor: int = 10) -> Column:
     """The passage with its first percentage, sample size or year (in this order) made wrong."""
     text = col(c)
-    pct = r"(?s)^(.*?)(?<![A-Za-z0-9./-])(\d+(?:\.\d+)?)(\s*%)(?![A-Za-z0-9./-])(.*)$"
+    edge = "[-./0-9A-Za-z]"
+    pct = rf"(?s)^(.*?)(?<!{edge})({NUMBER})(\s*%)(?!{edge})(.*)$"
     head, num, sign, tail = (F.regexp_extract(text, pct, i) for i in (1, 2, 3, 4))
     v = num.try_cast("double")
     new = F.when(v < 50, F.least(v * factor, F.lit(99.0))).otherwise(F.greatest(v / factor, F.lit(0.1)))
@@ -194,7 +196,7 @@ def mutate_number(c: Column | str, factor: int = 10) -> Column:
     head, num, tail = (F.regexp_extract(text, size, i) for i in (1, 2, 3))
     v = num.try_cast("long")
     sample = F.when(F.regexp_like(text, F.lit(size)), F.concat(head, F.greatest(v * factor, v + 50).cast("string"), tail))
-    when = r"(?s)^(.*?)\b((?:19|20)\d{2})\b(.*)$"
+    when = rf"(?s)^(.*?)({YEAR})(.*)$"
     head, num, tail = (F.regexp_extract(text, when, i) for i in (1, 2, 3))
     v = num.try_cast("int")
     year = F.when(F.regexp_like(text, F.lit(when)), F.concat(head, F.when(v < 2010, v + 20).otherwise(v - 20).cast("string"), tail))

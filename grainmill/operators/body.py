@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from grainmill.functions import text as T
 
-REVIEW_HEADER = r"(?i)\breview\s+article\b|\bsystematic\s+review\b"
-REFERENCES = r"(?im)^\s*(?:references|bibliography)\b"
-CID = r"\(cid:\d+\)|/C\d+|/G\d+"
+REVIEW_HEADER = r"(?i)^\s*review +\d+\b"
+REFERENCES = r"(?i)\b(?:bibliography|references|acknowledge?ments?)\b"
+CID = r"/C\d{2,}|/G[A-Fa-f\d]{2,}"
 TOC_DOTS = r"\.{4,}"
+METHODS = r"(?i)\b(?:{})\b".format("|".join("background design methods? objective participants? purpose setting".split()))
 
 
 def noise(c: Column | str, header: str = REVIEW_HEADER, references: str = REFERENCES, cid: str = CID, toc: str = TOC_DOTS) -> Column:
@@ -29,7 +30,7 @@ def noise(c: Column | str, header: str = REVIEW_HEADER, references: str = REFERE
     ).cast("double")
 
 
-def acceptable(c: Column | str, least: int = 400, most_noise: float = 2000.0, header: str = REVIEW_HEADER, cid: str = CID, toc: str = TOC_DOTS) -> Column:
+def acceptable(c: Column | str, least: int = 500, most_noise: float = 2000.0, header: str = REVIEW_HEADER, cid: str = CID, toc: str = TOC_DOTS) -> Column:
     """Whether a text may stand as body text: none of the reject rules fires."""
     text = T.col(c)
     cids = T.count(text, cid)
@@ -47,17 +48,17 @@ def masthead(c: Column | str) -> Column:
     return (like(r"(?i)\bVol\.?\s*\d") & like(T.YEAR)) | (like(r"\b(?:REPORTS?|CONTENTS)\b") & like(r"(?i)\b(?:ASHP|Am J|JAMA|N Engl)\b")) | like(r"(?i)^\s*(?:PAGE|pp?\.)\s*\d")
 
 
-def page_quality(c: Column | str, least: int = 400) -> Column:
+def page_quality(c: Column | str, least: int = 500) -> Column:
     text = T.col(c)
     letters, digits = F.length(F.regexp_replace(text, r"[^\p{L}]", "")), T.count(text, r"\d")
-    score = F.length(text) - noise(text) + F.least(digits, F.lit(60)) * 2 + F.when(F.regexp_like(text, F.lit(T.RESULTS)), 120).otherwise(0) + F.when(F.regexp_like(text, F.lit(r"(?i)\bmethods?\b")), 40).otherwise(0)
+    score = F.length(text) - noise(text) + F.least(digits, F.lit(60)) * 2 + F.when(F.regexp_like(text, F.lit(T.RESULTS)), 120).otherwise(0) + F.when(F.regexp_like(text, F.lit(METHODS)), 40).otherwise(0)
     return F.when(acceptable(text, least) & (letters >= 250), score.cast("double")).otherwise(-1.0)
 
 
 def passage_score(s: Column, junk: Column | None = None) -> Column:
     """Score of a sentence as a passage."""
     points = lambda p, v: F.when(F.regexp_like(s, F.lit(p)), v).otherwise(0)
-    base = points(T.RESULTS, 4) + points(r"\d", 3) - points(r"(?i)\bmethods?\b", 1) - points(T.ET_AL, 6) - F.when(T.count(s, T.YEAR) >= 2, 4).otherwise(0) + F.floor(F.least(F.length(s), F.lit(220)) / 40)
+    base = points(T.RESULTS, 4) + points(r"\d", 3) - points(METHODS, 1) - points(T.ET_AL, 6) - F.when(T.count(s, T.YEAR) >= 2, 4).otherwise(0) + F.floor(F.least(F.length(s), F.lit(220)) / 40)
     return (base - F.when(junk if junk is not None else masthead(s), 20 if junk is None else 40).otherwise(0)).cast("int")
 
 
@@ -69,7 +70,7 @@ def best_passage(c: Column | str, least: int = 60) -> Column:
 
 def candidate_sentences(c: Column | str, least: int = 60, floor: int = 2) -> Column:
     """Sentences worth a claim, best first, one per beginning of 80 characters."""
-    clean = F.transform(T.sentences(c, least), lambda s: F.trim(F.regexp_replace(s, r"(?i)^\s*(?:RESULTS?|METHODS?)\s+", "")))
+    clean = F.transform(T.sentences(c, least), lambda s: F.trim(F.regexp_replace(s, r"(?i)^\s*(?:METHODS?|RESULTS?)\s+", "")))
     junk = lambda s: masthead(s) | (T.letter_share(s) < 0.55) | F.regexp_like(s, F.lit(r"^\d(?!\d{3}\b)"))
     kept = F.filter(clean, lambda s: (F.length(s) >= least) & ~junk(s) & (passage_score(s) >= floor))
     ranked = F.array_sort(F.transform(kept, lambda s: F.struct((-passage_score(s)).alias("k"), s.alias("s"))))

@@ -19,6 +19,7 @@ from grainmill.operators.windows import chunk_excerpt, seeded_pick
 
 CLAIM = "array<struct<claim:string,verdict:string,sourceQuotes:array<string>,rationale:array<string>,hasNumericClaim:boolean>>"
 VISIBLE, EXCERPT = 200, 1800
+N = T.NUMBER
 
 
 @dataclass(frozen=True)
@@ -36,14 +37,14 @@ class Pools:
     scope: tuple[tuple[str, str], ...] = (("costs were the same in all centres", "Costs are not described in the excerpt"), ("children and adults benefited alike", "Results for children are not described in the excerpt"), ("every subgroup gained equally", "Subgroups are not described in the excerpt"))
     #: (pattern with one number group, template with %s)
     numeric: tuple[tuple[str, str], ...] = (
-        (r"(?i)sensitivity was (\d+(?:\.\d+)?)\s*%", "The test was %s%% sensitive"),
-        (r"(?i)mean of (\d+(?:\.\d+)?) months", "Follow-up lasted %s months on average"),
-        (r"(?i)AUC of (\d+(?:\.\d+)?)", "The AUC came to %s"),
-        (r"(?i)enrolled (\d[\d,]*) (?:adults|patients|participants)", "The cohort had %s members"),
-        (r"(?i)efficacy\D{0,40}?(\d+(?:\.\d+)?)\s*%", "Efficacy stood at %s%%"),
-        (r"(?i)(\d+(?:\.\d+)?)\s*% of (?:patients|participants)", "About %s%% of the patients had the outcome"),
-        (r"(?i)(\d+(?:\.\d+)?)\s*% \(95% CI", "The primary analysis gave %s%%"),
-        (r"(?i)increased by (\d+(?:\.\d+)?)\s*%", "The measure went up by %s%%"),
+        (rf"(?i)sensitivity was ({N})\s*%", "The test was %s%% sensitive"),
+        (rf"(?i)mean of ({N}) months", "Follow-up lasted %s months on average"),
+        (rf"(?i)AUC of ({N})", "The AUC came to %s"),
+        (r"(?i)enrolled ([\d,]+) (?:participants|patients|adults)", "The cohort had %s members"),
+        (rf"(?i)efficacy\D{{0,40}}?({N})\s*%", "Efficacy stood at %s%%"),
+        (rf"(?i)({N})\s*% of (?:patients|participants)", "About %s%% of the patients had the outcome"),
+        (rf"(?i)({N})\s*% \(95% CI", "The primary analysis gave %s%%"),
+        (rf"(?i)increased by ({N})\s*%", "The measure went up by %s%%"),
     )
     semantic: tuple[tuple[str, str], ...] = (
         (r"(?i)compliance was high|adherence to (?:the )?protocol was high", "Protocol compliance was high"),
@@ -67,7 +68,7 @@ class Generator:
     def _pick(self, sents: Column, purpose: str) -> Column:
         return seeded_pick(sents, self._draw(purpose))
 
-    # sentence pickers -------------------------------------------------------------------------
+    # sentence pickers
     def claim_sentence(self) -> Column:
         like = lambda s, p: F.when(F.regexp_like(s, F.lit(p)), 1).otherwise(0)
         score = lambda s: like(s, r"\d") * 2 + like(s, T.RESULTS) * 2 - like(s, T.METHODS_HEAD)
@@ -109,7 +110,7 @@ class Generator:
         claims = F.transform(order, lambda x: x["c"])
         return F.coalesce(F.get(F.filter(claims, lambda c: T.claim_absent(c, "abstract")), 0), F.get(claims, 0))
 
-    # text forms -------------------------------------------------------------------------------
+    # text forms
     def paraphrase(self, s: Column) -> Column:
         """A numeric template that fits, else a semantic one; null if none does."""
         number = [F.when(F.regexp_like(s, F.lit(p)), F.format_string(t, F.replace(F.regexp_extract(s, p, 1), F.lit(","), F.lit("")))) for p, t in self.pools.numeric]
@@ -130,7 +131,7 @@ class Generator:
         low = F.when((opener != "") & ~F.regexp_like(body, F.lit(T.METHODS_HEAD)), F.concat(F.lower(F.left(body, F.lit(1))), F.substring(body, 2, 1_000_000))).otherwise(body)
         return F.concat(opener, low, F.lit(" "), self.cite(), F.lit("."))
 
-    # rows -------------------------------------------------------------------------------------
+    # rows
     @staticmethod
     def claim(text: Column, verdict: str, quotes: Column | None, why: str | Column | None = None, numeric: Column | None = None) -> Column:
         """A claim in the fixed key order; ``supported`` without a quote is an error."""

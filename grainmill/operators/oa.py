@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from grainmill.functions import text as T
 
-TRUSTED = ("ncbi.nlm.nih.gov/pmc", "europepmc.org", "arxiv.org", "biorxiv.org", "medrxiv.org", "zenodo.org", "figshare.com")
-RISKY = ("hdl.handle.net", "zotero.org", "worktribe.com", "hal.science", "repositorio.", "infoscience.", "dspace.")
+TRUSTED = tuple("arxiv.org biomedcentral.com biorxiv.org bmj.com cran.r-project.org deepblue.lib.umich.edu europepmc.org figshare.com frontiersin.org mdpi.com medrxiv.org ncbi.nlm.nih.gov/pmc plos.org pubmed.ncbi.nlm.nih.gov pure.eur.nl scielo.br zenodo.org".split())
+RISKY = tuple("dspace. durham-repository. hal.science hdl.handle.net ine.es/ infoscience. repositorio. worktribe.com zotero.org".split())
 PMC = r"(?i)pmc/articles/(?:pmc)?(\d+)|pmc(\d+)"
-WALLS = ("sign in", "log in", "login", "purchase", "subscribe", "access denied", "institutional access")
+WALLS = ("access denied", "institutional access", "log in", "login", "purchase", "sign in", "subscribe")
+_NCBI, _EUROPE = "https://www.ncbi.nlm.nih.gov", "https://europepmc.org"
 
 
 def unquote(c: Column) -> Column:
@@ -79,7 +80,7 @@ def url_flags(url: Column, doi: Column, host: Column, selection: Column) -> Colu
     """Why an open-access URL deserves a look; none for an operator's own choice."""
     u, d, h = F.trim(F.coalesce(url, F.lit(""))), T.normalize_doi(doi), F.lower(F.coalesce(host, F.lit("")))
     low, embeds, trusted = F.lower(u), embeds_doi(u, d), has_marker(u)
-    risky = F.transform(F.filter(F.array(*[F.lit(m) for m in RISKY]), lambda m: F.contains(low, m)), lambda m: F.concat(F.lit("high_risk_host:"), m))
+    risky = F.transform(F.filter(F.array(*[F.lit(m) for m in RISKY]), lambda m: F.contains(low, m)), lambda m: F.concat(F.lit("high_risk_host:"), F.rtrim(m, F.lit("/"))))
     loose = ~embeds & ~trusted
     more = F.array_compact(F.array(
         F.when(loose & (h == "repository"), "untrusted_repo_no_doi"),
@@ -102,9 +103,9 @@ def candidate_urls(url: Column) -> Column:
     pmc = F.nullif(F.concat(F.regexp_extract(low, PMC, 1), F.regexp_extract(low, PMC, 2)), F.lit(""))
     return F.array_distinct(F.array_compact(F.array(
         F.nullif(url, F.lit("")),
-        F.concat(F.lit("https://europepmc.org/backend/ptpmcrender.fcgi?accid=PMC"), pmc, F.lit("&blobtype=pdf")),
-        F.concat(F.lit("https://www.ncbi.nlm.nih.gov/pmc/articles/PMC"), pmc, F.lit("/pdf/")),
-        F.concat(F.lit("https://www.ncbi.nlm.nih.gov/pmc/articles/"), pmc, F.lit("/pdf/")),
+        F.concat(F.lit(_EUROPE), F.lit("/backend/ptpmcrender.fcgi?accid=PMC"), pmc, F.lit("&blobtype=pdf")),
+        F.concat(F.lit(_NCBI), F.lit("/pmc/articles/PMC"), pmc, F.lit("/pdf/")),
+        F.concat(F.lit(_NCBI), F.lit("/pmc/articles/"), pmc, F.lit("/pdf/")),
         F.when(F.contains(low, F.lit("figshare.com")) & ~F.contains(low, F.lit("/download")), F.concat(trimmed, F.lit("/download"))),
         F.when(F.contains(low, F.lit("nature.com/articles/")) & ~F.endswith(low, F.lit(".pdf")), F.concat(trimmed, F.lit(".pdf"))),
         F.when(F.contains(low, F.lit("link.springer.com/article/")), F.concat(F.regexp_replace(F.regexp_replace(url, r"[?#].*$", ""), "/article/", "/content/pdf/"), F.lit(".pdf"))),

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from grainmill.functions import text as T
 from grainmill.functions.jsonx import VERDICTS
 
-OVERALL = ("support", "weak", "unrelated", "insufficient_evidence")
-TASKS = ("l3_grounding", "doc_extract", "source_pdf_extract", "webpage_metadata", "webpage_classify", "issue_explain", "table_figure_grounding")
+OVERALL = tuple("insufficient_evidence support unrelated weak".split())
+TASKS = tuple("doc_extract issue_explain l3_grounding source_pdf_extract table_figure_grounding webpage_classify webpage_metadata".split())
 Rule = tuple[Column, Column | str]
 
 
@@ -121,7 +121,7 @@ def label_audit(row_id: Column, excerpt: Column, passage: Column, claims: Column
 
 def claim_keys_ordered(claim_json: Column | str) -> Column:
     """Whether a claim's JSON keys stand in the fixed order."""
-    return F.json_object_keys(T.col(claim_json)) == F.array(*[F.lit(k) for k in ("claim", "verdict", "sourceQuotes", "rationale", "hasNumericClaim")])
+    return F.json_object_keys(T.col(claim_json)) == F.array(*[F.lit(k) for k in "claim verdict sourceQuotes rationale hasNumericClaim".split()])
 
 
 def split_dropped(rows: DataFrame, dropped: DataFrame, key: str = "id") -> tuple[DataFrame, DataFrame]:

@@ -325,7 +325,7 @@ def validation_errors(spark, d):
 
 
 @query(r"""SELECT doc_id, CAST((CASE WHEN y >= 6 THEN y * 220 ELSE 0 END) + (CASE WHEN p >= 10 THEN p * 35 ELSE 0 END) + t * 250 + c * 180 + (CASE WHEN m / greatest(w, 1) > 0.08 THEN 1500 ELSE 0 END) + (CASE WHEN s >= 4 AND y >= 3 THEN 900 ELSE 0 END) AS DOUBLE) AS penalty FROM
- (SELECT doc_id, len(regexp_extract_all(text, '\b(?:19|20)[0-9]{2}\b')) AS y, length(text) - length(replace(text, '(', '')) AS p, len(regexp_extract_all(text, '\.{4,}')) AS t, len(regexp_extract_all(text, '\(cid:[0-9]+\)|/C[0-9]+|/G[0-9]+')) AS c,
+ (SELECT doc_id, len(regexp_extract_all(text, '\b(?:19|20)[0-9]{2}\b')) AS y, length(text) - length(replace(text, '(', '')) AS p, len(regexp_extract_all(text, '\.{4,}')) AS t, len(regexp_extract_all(text, '/C[0-9]{2,}|/G[A-Fa-f0-9]{2,}')) AS c,
  length(text) - length(replace(text, ',', '')) AS m, length(text) - length(replace(text, ';', '')) AS s, len(list_filter(regexp_split_to_array(text, '[ \t\n\r\f\v]+'), lambda x: x <> '')) AS w FROM documents)""")
 def noise_penalty(spark, d):
     """Noise penalty of each document as body text (no header or reference words in these texts)."""
@@ -387,7 +387,7 @@ def xml_escape_prompt(spark, d):
     return table(spark, d, "documents").select("doc_id", F.md5(F.get(m, 1)["content"]).alias("prompt_md5"))
 
 
-_DOIS = ("https://doi.org/10.1234/ABC", "DOI:10.1/x", "", "  http://doi.org/10.5/Y ", "10.7/z")
+_DOIS = ("https://doi.org/10.55/QRS", "DOI:10.1/x", "", "  http://doi.org/10.5/Y ", "10.7/z")
 
 
 @query("SELECT raw, nullif(trim(regexp_replace(regexp_replace(regexp_replace(lower(trim(raw)), '^https://doi\\.org/', ''), '^http://doi\\.org/', ''), '^doi:', '')), '') AS doi FROM (VALUES " + ", ".join(f"('{x}')" for x in _DOIS) + ") v(raw)")
