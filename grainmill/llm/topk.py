@@ -86,7 +86,7 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     for r in range(_WIDTH + 1):
         masks = [sum(1 << b for b in c) for c in combinations(range(_WIDTH), r)]
         probes = open_.select("query_id", "q", _segments("q", masks).alias("key"))
-        met = probes.join(keyed, "key")
+        met = probes.join(keyed.hint("merge"), "key")  # Spark takes exploded probes for as small as their queries
         distance = F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).cast("int")
         met = met.select("query_id", distance.alias("distance"), "code", "ids").distinct() if r == 0 else met.select("query_id", distance.alias("distance"), "code", "ids")
         new = met.select("query_id", "distance", F.explode("ids").alias("vec_id")).where("query_id <> vec_id")
