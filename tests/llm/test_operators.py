@@ -46,7 +46,7 @@ def texts(df):
     return {r.doc_id: r.text or "" for r in df.select("doc_id", "text").collect()}
 
 
-# connected components ---------------------------------------------------------------------------
+# connected components
 def test_components_of_random_links(spark):
     rng = random.Random(3)
     pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(260)] + [(1000, k) for k in range(1001, 1400)] + [(k, k + 1) for k in range(2000, 2060)] + [(5, 5), (None, 4), (7, None)]
@@ -67,7 +67,7 @@ def test_components_of_random_links(spark):
     assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-# 1 secrets --------------------------------------------------------------------------------------
+# 1 secrets
 def brute_base(text):
     out = []
     for kind, pattern, least, group in (
@@ -138,7 +138,7 @@ def test_secret_query(spark, sf, cases, none):
     assert clean.where("doc_id = 8").first().text == "<secret:assign>\"" and clean.where("doc_id = 8").first().n_chars == 16
 
 
-# 2 embeddings -----------------------------------------------------------------------------------
+# 2 embeddings
 def brute_links(rows):
     good = {k: np.array(v, float) for k, v in rows if k is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)}
     ids = list(good)
@@ -195,7 +195,7 @@ def test_embedding_recall_at_the_threshold():
     assert np.mean([bool(a & b) for a, b in zip(*sets)]) > 0.97
 
 
-# 3 quality --------------------------------------------------------------------------------------
+# 3 quality
 def test_quality(spark, cases, none):
     d = "/root/testdata/sf0.01"
     got = queries.op3_quality_classifier(spark, d).toPandas()
@@ -211,7 +211,7 @@ def test_quality(spark, cases, none):
     assert quality.keep_good(cases, labels).columns == cases.columns
 
 
-# 4 licences -------------------------------------------------------------------------------------
+# 4 licences
 def test_licence_templates_and_edits():
     index = licenses.TemplateIndex(licenses.TEMPLATES)
     for name, text in licenses.TEMPLATES.items():
@@ -236,7 +236,7 @@ def test_licence_query(spark, sf, cases, none):
     assert licenses.license_spans(none).count() == 0
 
 
-# 5 simhash --------------------------------------------------------------------------------------
+# 5 simhash
 def brute_fp(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     sh = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
@@ -300,7 +300,7 @@ def test_cut_shards_link_the_same(spark):
     assert links[0] == links[1] and links[0]
 
 
-# 6 exact top-k ----------------------------------------------------------------------------------
+# 6 exact top-k
 def test_top_k(spark):
     rng = np.random.default_rng(6)
     code = np.concatenate([rng.integers(-(2**63), 2**63 - 1, 120), np.full(40, 77), 77 ^ (1 << rng.integers(0, 60, 20))]).astype(np.int64)
@@ -322,7 +322,7 @@ def test_top_k_small_tables(spark):
     assert topk.nearest_codes(df.limit(0)).count() == 0
 
 
-# 7, 8 tokens ------------------------------------------------------------------------------------
+# 7, 8 tokens
 def library():
     from tokenizers import Tokenizer
 
@@ -435,7 +435,7 @@ def test_token_output_query(spark, sf, docs, cases, none, monkeypatch):
     assert tokenio.token_round_trip(cases).count() == len(CASES) and tokenio.token_round_trip(none).count() == 0
 
 
-# 9 sentencepiece --------------------------------------------------------------------------------
+# 9 sentencepiece
 def test_pieces_equal_the_library(spark, sf, docs, cases, none):
     import sentencepiece
 
@@ -454,7 +454,7 @@ def test_pieces_equal_the_library(spark, sf, docs, cases, none):
     assert pieces.encode_decode(cases).where("round_trip").count() == len(CASES) and pieces.encode_decode(none).count() == 0
 
 
-# 10 html ----------------------------------------------------------------------------------------
+# 10 html
 def test_html_pages(spark, sf):
     for r in html.extract_text(spark.read.parquet(f"{sf}/pages.parquet")).join(spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "html"), "page_id").collect():
         article = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
@@ -485,7 +485,7 @@ def test_html_edges(spark):
     assert html.extract_text(df.limit(0)).count() == 0
 
 
-# all --------------------------------------------------------------------------------------------
+# all
 def test_every_operator_has_its_query():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
@@ -494,7 +494,8 @@ def test_every_operator_has_its_query():
 def test_nothing_else_imports_the_subpackage():
     from pathlib import Path
 
-    root = Path(__file__).resolve().parents[2] / "grainmill"
+    here = Path(__file__).resolve()
+    root = here.parents[2] / "grainmill"
     for f in root.rglob("*.py"):
         if "llm" not in f.relative_to(root).parts:
             assert "grainmill.llm" not in f.read_text(), f
