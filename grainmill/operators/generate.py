@@ -154,7 +154,7 @@ class Generator:
         cap = lambda x: chunk_excerpt(x, a, EXCERPT)
         para, why = self.paraphrase(s), "Numbers and facts agree; the passage paraphrases the source"
         fits = inside(s) & T.aligned(para, s)
-        out = [self.row("sanad", fits, self.direct(para), s, arr(self.claim(para, "supported", arr(s), why)), "support", "sentence")]
+        out = [self.row("sentence", fits, self.direct(para), s, arr(self.claim(para, "supported", arr(s), why)), "support", "sentence")]
         out.append(self.row("supp", fits & (T.normalize_ws(para) != T.normalize_ws(s)), self.neutral(para, "supp"), cap(para), arr(self.claim(para, "supported", arr(s), why)), "support"))
         chunk = chunk_excerpt(para, a, EXCERPT)
         whole = F.when(T.quote_in_excerpt_simple(s, chunk), chunk).when(F.length(s) + F.length(chunk) + 2 <= EXCERPT, F.concat(s, F.lit("\n\n"), chunk))
@@ -171,7 +171,7 @@ class Generator:
         lucky = F.pmod(F.xxhash64(self._draw("coin")), F.lit(10_000)) < int(self.coin * 10_000)
         out.append(self.row("ins", lucky & m.isNotNull() & r.isNotNull() & ~F.contains(m, r), self.neutral(r, "ins"), m, arr(self.claim(r, "insufficient_evidence", None, "The excerpt has methods only")), "insufficient_evidence", "thin"))
         spara = self.semantic_paraphrase(sem)
-        out.append(self.row("sanadsem", inside(sem) & spara.isNotNull() & T.meaning_aligned(spara, sem), self.direct(spara), sem, arr(self.claim(spara, "supported", arr(sem), "The meaning agrees; the passage paraphrases the source")), "support", "sentence"))
+        out.append(self.row("semantic", inside(sem) & spara.isNotNull() & T.meaning_aligned(spara, sem), self.direct(spara), sem, arr(self.claim(spara, "supported", arr(sem), "The meaning agrees; the passage paraphrases the source")), "support", "sentence"))
         x, y = F.regexp_extract(pol, r"(?i)between (.+?) and ", 1), F.regexp_extract(pol, r"(?i)between .+? and ([^,.;]+)", 1)
         denied = F.when((x != "") & (y != ""), F.concat(F.lit("There was no association between "), x, F.lit(" and "), y)).otherwise("There was no association between the exposure and the outcome")
         out.append(self.row("pol", F.regexp_like(pol, F.lit("(?i)associat(?:ion|ed)")), self.direct(denied), pol, arr(self.claim(denied, "contradicted", arr(pol), "The source reports an association")), "weak", "sentence"))

@@ -128,24 +128,36 @@ def test_trim_and_split(spark):
 
 
 def test_quotas_keep_priority_rows(spark):
-    data = [(f"l3-x-sanad-{i}", "supported", 1) for i in range(5)] + [(f"s{i}", "supported", 1) for i in range(200)] + [(f"n{i}", "not_in_source", 1) for i in range(50)]
+    data = [(f"l3-x-sentence-{i}", "supported", 1) for i in range(5)] + [(f"s{i}", "supported", 1) for i in range(200)] + [(f"n{i}", "not_in_source", 1) for i in range(50)]
     df = spark.createDataFrame(data, "id string, verdict string, n int")
-    got = windows.quotas(df, "verdict", 30, {"supported": 0.4, "not_in_source": 0.2}, F.contains("id", F.lit("-sanad-")), F.col("n") > 1)
+    got = windows.quotas(df, "verdict", 30, {"supported": 0.4, "not_in_source": 0.2}, F.contains("id", F.lit("-sentence-")), F.col("n") > 1)
     ids = [r.id for r in got.collect()]
-    assert sum("-sanad-" in i for i in ids) == 5 and len(ids) == len(set(ids)) == 30
+    assert sum("-sentence-" in i for i in ids) == 5 and len(ids) == len(set(ids)) == 30
 
 
 # scoring
+def expect(least=None, want=None, ban=None, allow=None, quotes=False):
+    return dict(must_parse_json=True, min_claims=least, any_claim_verdict=want, forbidden_claim_verdict=ban, all_claim_verdicts_in=allow, quotes_must_be_substrings=quotes)
+
+
+def claim(verdict="supported", quotes=("the cat",), text="c"):
+    return dict(claim=text, verdict=verdict, sourceQuotes=list(quotes))
+
+
+def answer(*claims):
+    return dict(claims=list(claims))
+
+
 EVALS = [
-    ("h-001", "the cat sat here", {"must_parse_json": True, "min_claims": 1, "any_claim_verdict": ["supported"], "forbidden_claim_verdict": None, "all_claim_verdicts_in": None, "quotes_must_be_substrings": True}),
-    ("h-011", "x", {"must_parse_json": True, "min_claims": 1, "any_claim_verdict": ["contradicted"], "forbidden_claim_verdict": ["supported"], "all_claim_verdicts_in": None, "quotes_must_be_substrings": False}),
-    ("h-020", "x", {"must_parse_json": True, "min_claims": 2, "any_claim_verdict": None, "forbidden_claim_verdict": None, "all_claim_verdicts_in": ["weak"], "quotes_must_be_substrings": False}),
-    ("h-040", "x", {"must_parse_json": True, "min_claims": None, "any_claim_verdict": None, "forbidden_claim_verdict": None, "all_claim_verdicts_in": None, "quotes_must_be_substrings": False}),
-    ("z", "x", {"must_parse_json": True, "min_claims": None, "any_claim_verdict": None, "forbidden_claim_verdict": None, "all_claim_verdicts_in": None, "quotes_must_be_substrings": False}),
+    ("h-001", "the cat sat here", expect(1, ["supported"], quotes=True)),
+    ("h-011", "x", expect(1, ["contradicted"], ["supported"])),
+    ("h-020", "x", expect(2, allow=["weak"])),
+    ("h-040", "x", expect()),
+    ("z", "x", expect()),
 ]
 PREDICTIONS = [
-    ("h-001", json.dumps({"claims": [{"claim": "c", "verdict": "supported", "sourceQuotes": ["cat  sat"]}]})),
-    ("h-011", json.dumps({"claims": [{"claim": "c", "verdict": "supported", "sourceQuotes": []}]})),
+    ("h-001", json.dumps(answer(claim(quotes=["cat  sat"])))),
+    ("h-011", json.dumps(answer(claim(quotes=[])))),
     ("h-020", '{"claims": [{"claim": "c", "verdict": "weak"}, {"claim": " ", "verdict": "weak"},]}'),
     ("h-040", "garbage"),
 ]
@@ -160,7 +172,8 @@ def scored(spark):
 def test_score(scored):
     got = {r.id: r for r in scored.collect()}
     assert [got[i].failure_mode for i in ("h-001", "h-011", "h-020", "h-040", "z")] == ["pass", "wrong_verdict", "min_claims", "parse_json", "missing_prediction"]
-    assert got["h-011"].failures == ["any_claim_verdict missing ['contradicted']", "forbidden verdict present: ['supported']"]
+    missing, banned = got["h-011"].failures
+    assert missing.endswith("missing ['contradicted']") and banned.endswith("present: ['supported']")
     assert got["h-020"].failures == ["min_claims:1<2"] and got["h-020"].repaired_used  # the blank claim went before counting
     assert got["h-040"].failures == ["must_parse_json"]
     assert [got[i].category for i in ("h-001", "h-011", "h-020", "h-040", "z")] == ["supported", "contradicted", "not_in_source", "multi_claim", None]
@@ -204,8 +217,8 @@ def test_gates(spark):
 @pytest.mark.parametrize(
     ("record", "want"),
     [
-        ({"id": "a", "task": "l3_grounding", "passage": "p", "source_excerpt": "the cat", "meta": {}, "output": {"claims": [{"claim": "c", "verdict": "supported", "sourceQuotes": ["the cat"]}]}}, []),
-        ({"id": "a", "task": "l3_grounding", "passage": "p", "source_excerpt": "x", "meta": {}, "output": {"claims": [{"claim": "c", "verdict": "supported", "sourceQuotes": []}]}}, ["supported claim requires sourceQuotes"]),
+        ({"id": "a", "task": "l3_grounding", "passage": "p", "source_excerpt": "the cat", "meta": {}, "output": answer(claim())}, []),
+        ({"id": "a", "task": "l3_grounding", "passage": "p", "source_excerpt": "x", "meta": {}, "output": answer(claim(quotes=[]))}, ["supported claim requires sourceQuotes"]),
         ({"id": "a", "task": "l3_grounding", "passage": "p"}, ["missing source_excerpt", "missing meta", "neither output nor expect"]),
         ({"id": "a", "task": "l3_grounding", "passage": "p", "source_excerpt": "x", "meta": {"doc_id": "d", "language": "ar", "excerpt_mode": "paragraph"}, "output": {"claims": []}}, ["arabic_slice required"]),
         ({"id": "", "task": "nope"}, ["missing id", "unknown task"]),
