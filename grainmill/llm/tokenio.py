@@ -28,7 +28,7 @@ from grainmill.llm.common import batches, materialize, scratch_dir, ship, text_o
 from grainmill.llm.tokenfile import read_file, write_file
 from grainmill.llm.tokens import default_tokenizer, encoder
 
-END, FILE_IDS = 2, 8 << 20
+END, FILE_IDS, ROOM = 2, 8 << 20, 2
 _MANIFEST = "path string, part int, file int, n_docs long, n_ids long, n_bytes long"
 
 
@@ -39,7 +39,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end
     path = tokenizer or default_tokenizer()
 
     def write(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part = encoder(path), TaskContext.get().partitionId()
+        enc, part = encoder(path, ROOM), TaskContext.get().partitionId()
         store, root = pafs.FileSystem.from_uri(folder)
         tail = np.array([end], "<u2").tobytes()
         docs_, sizes, held, n, k = [], [], [], 0, 0
