@@ -1,8 +1,10 @@
 """Secret scan with a recursive decoding worklist.
 
-A text is layer zero. From every layer up to three others follow: its percent-escapes decoded, its
+A text is layer zero. From every layer others follow: its percent-escapes decoded, its
 Unicode escapes decoded, its base64 runs opened (and, where the bytes carry a compression magic,
-inflated, as often as they do). A layer whose text was seen before is not taken up again, so the
+inflated, as often as they do). Consecutive lines are one base64 run; a run that does not open from
+its first character is read in all four phases, and archives are tried after each ``/``, ``-`` and
+``_`` in it. A layer whose text was seen before is not taken up again, so the
 worklist ends at a fixpoint even if an archive inflates to itself. Every layer is scanned for the
 same three kinds of secret and a finding's span is mapped back, layer by layer, to code points of
 the original text: text that was copied maps to its own place, decoded text to the whole escape or
@@ -17,7 +19,6 @@ columns are ignored by the scan and kept by ``redact``. A compressed run that wo
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import hashlib
@@ -44,7 +45,12 @@ _WORDS = ("password", "passwd", "secret", "token", "api")
 
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u([dD][89abAB][0-9a-fA-F]{2})\\u([dD][c-fC-F][0-9a-fA-F]{2})|\\u\{([0-9a-fA-F]{1,6})\}|\\u([0-9a-fA-F]{4})|\\U([0-9a-fA-F]{8})|\\x([0-9a-fA-F]{2})")
-_BASE64 = re.compile(r"(?<![\w+/-])[\w+/-]{16,}={0,2}", re.A)
+_LINE = r"[ \t]*(?:\r?\n|\r|(?:\\r)?\\n)[ \t>]*"
+_BREAK = re.compile(_LINE)
+_BASE64 = re.compile(rf"(?<![\w+/-])(?:[\w+/-]{{16,}}+|[\w+/-]++(?={_LINE}[\w+/-]))(?:{_LINE}[\w+/-]++)*+={{0,2}}", re.A)
+_SEGMENT = re.compile(r"[^/_-]*[/_-]*")
+_ARCHIVE = re.compile(rb"\x1f\x8b|BZh|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|\x78[\x01\x5e\x9c\xda]")
+_LEGIBLE = re.compile(rb"[\t\n\r\x20-\x7e]{14,}")  # the shortest finding, token=12345678
 _CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f￾￿]")
 
 
@@ -191,23 +197,87 @@ def _unicode(layer: Layer, missed: list[int]) -> Layer | None:
     return _replaced(layer, swaps)
 
 
-def _base64(layer: Layer, missed: list[int]) -> Layer | None:
-    swaps = []
+class _Run(Layer):
+    """Bytes of a base64 run read from its ``phase``-th character on, one code point each.
+
+    A place maps to the segments (``(first character of the run, start, end in the layer above)``,
+    cut at line breaks and at ``/``, ``-`` and ``_``) that its byte is spelt in.
+    """
+
+    def __init__(self, above: Layer, data: bytes, phase: int, segments: list[tuple[int, int, int]]):
+        super().__init__(above, data.decode("latin-1"), [])
+        self.phase, self.segments, self.firsts = phase, segments, [s[0] for s in segments]
+
+    def _up(self, at: int) -> tuple[int, int]:
+        first, last = self.phase + at * 8 // 6, self.phase + (at * 8 + 7) // 6
+        return self.segments[bisect_right(self.firsts, first) - 1][1], self.segments[bisect_right(self.firsts, last) - 1][2]
+
+
+def _decoded(run: str) -> bytes:
+    """The bytes of a run in either alphabet; a last character that ends no byte is left out."""
+    run = run[: len(run) - (len(run) % 4 == 1)].replace("-", "+").replace("_", "/")
+    return binascii.a2b_base64(run + "=" * (-len(run) % 4))
+
+
+def _lines(m: re.Match) -> list[tuple[int, int, str]]:
+    """``(start, end, characters)`` of a match's lines; the padding belongs to the last."""
+    out, at = [], m.start()
+    for b in _BREAK.finditer(m[0]):
+        out.append((at, m.start() + b.start(), m.string[at : m.start() + b.start()]))
+        at = m.start() + b.end()
+    return [*out, (at, m.end(), m.string[at : m.end()].rstrip("="))]
+
+
+def _base64(layer: Layer, missed: list[int]) -> list[Layer]:
+    """The layer with its runs opened, and readings of what does not open whole.
+
+    Consecutive lines make one run. Where it does not open from its first character, its lines are
+    tried alone, and all four phases are read for legible bytes and each segment for an archive.
+    """
+    swaps, loose = [], []
     for m in _BASE64.finditer(layer.text):
-        run = m[0].rstrip("=")
-        if len(run) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4), validate=True)
-            text = open_bytes(data)
-        except (binascii.Error, ValueError):
+        lines = _lines(m)
+        run = "".join(r for _, _, r in lines)
+        if len(run) < 16:
             continue
-        except TooLarge:
-            missed[0] += 1
-            continue
-        if text is not None:
-            swaps.append((m.start(), m.end(), text))
-    return _replaced(layer, swaps)
+        for start, end, part in [(m.start(), m.end(), run)] if len(lines) == 1 else [(m.start(), m.end(), run), *lines]:
+            if len(part) < 16 or len(part) % 4 == 1:
+                continue
+            try:
+                text = open_bytes(_decoded(part))
+            except TooLarge:  # counted by _readings
+                continue
+            if text is not None:
+                swaps.append((start, end, text))
+                if part is run:
+                    break
+        else:
+            loose += _readings(layer, lines, run, missed)
+    return [x for x in (_replaced(layer, swaps), *loose) if x is not None]
+
+
+def _readings(layer: Layer, lines: list[tuple[int, int, str]], run: str, missed: list[int]) -> list[Layer]:
+    segments, size = [], 0
+    for start, end, part in lines:
+        cuts = [c.start() for c in _SEGMENT.finditer(part) if c[0]]
+        for a, b in zip(cuts, [*cuts[1:], None]):
+            segments.append((size + a, start + a, end if b is None else start + b))
+        size += len(part)
+    out: list[Layer] = []
+    for phase in range(4):
+        if _LEGIBLE.search(data := _decoded(run[phase:])):
+            out.append(_Run(layer, data, phase, segments))
+        for first, start, _ in segments:
+            at = (first - phase) // 4 * 3
+            if first >= phase and (first - phase) % 4 == 0 and _ARCHIVE.match(data, at):
+                try:
+                    text = open_bytes(data[at:])
+                except TooLarge:
+                    missed[0] += 1
+                    continue
+                if text is not None:
+                    out.append(Layer(layer, text, [(0, len(text), start, lines[-1][1])]))
+    return out
 
 
 def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int]:
@@ -221,8 +291,7 @@ def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
             for start, kind, end in scan(layer.text):
                 a, b = layer.origin(start, end)
                 spans.add((a, kind, b))
-        for step in (_percent, _unicode, _base64):
-            nxt = step(layer, missed)
+        for nxt in (_percent(layer, missed), _unicode(layer, missed), *_base64(layer, missed)):
             if nxt is not None and nxt.text not in seen:
                 seen.add(nxt.text)
                 work.append(nxt)

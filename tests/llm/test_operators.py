@@ -125,6 +125,27 @@ def test_secret_cycles_and_bombs_end(monkeypatch):
     assert secrets.find("%25" * 50)[0] == []
 
 
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress])
+@pytest.mark.parametrize("line_end", ["\n", "\r\n  "])
+def test_secrets_in_wrapped_base64(pack, line_end):
+    rng = random.Random(5)
+    noise = "".join(rng.choice("abcdefghij ") for _ in range(900))
+    for at in range(400, 460):  # over a line end in some of them
+        block = base64.encodebytes(pack(f"{noise[:at]} password=hunter2hunter2 {noise[at:]}".encode())).decode().rstrip().replace("\n", line_end)
+        t = f"see attachment\n{block}\nand more"
+        spans = secrets.find(t)[1]
+        assert spans and all(k == 0 and 0 < a < b <= len(t) for a, k, b in spans)
+        assert block not in secrets.redacted(t)
+
+
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress])
+@pytest.mark.parametrize("head", ["https://x.org/d/", "blob_", "x-", "ab/cd_"])
+def test_secrets_in_base64_behind_a_path(pack, head):
+    run = base64.urlsafe_b64encode(pack(b"password=hunter2hunter2 and more")).decode().rstrip("=")
+    ((a, k, b),) = secrets.find(head + run)[1]
+    assert k == 0 and len(head) <= a < b <= len(head + run)
+
+
 def test_secret_query(spark, sf, cases, none):
     got = {r.doc_id: r for r in secrets.secret_spans(spark.read.parquet(f"{sf}/documents.parquet")).collect()}
     for i, t in texts(spark.read.parquet(f"{sf}/documents.parquet")).items():
