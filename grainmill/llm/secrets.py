@@ -12,9 +12,11 @@ run it came from.
 
 Defined results: null text counts as empty and has no findings; equal findings reached by several
 layers count once; repeated rows each get their row; an empty table gives an empty result; extra
-columns are ignored by the scan and kept by ``redact``. A compressed run that would inflate beyond
-``MAX_INFLATE`` bytes is not opened (a guard against archive bombs): it is counted in
-``n_unopened``, never dropped silently, and the run's own text is still scanned.
+columns are ignored by the scan and kept by ``redact``. Opened bytes that are no clean UTF-8 text
+are scanned all the same, as Latin-1 or UTF-16 with their control characters, as are all members of
+an archive, what follows them, and the readable part of a cut or damaged one. A compressed run that
+would inflate beyond ``MAX_INFLATE`` bytes is not opened (a guard against archive bombs).
+``n_unopened`` counts the runs with such an archive, or one not readable to its end.
 """
 
 from __future__ import annotations
@@ -49,7 +51,11 @@ _LINE = r"[ \t]*(?:\r?\n|\r|(?:\\r)?\\n)[ \t>]*"
 _BREAK = re.compile(_LINE)
 _BASE64 = re.compile(rf"(?<![\w+/-])(?:[\w+/-]{{16,}}+|[\w+/-]++(?={_LINE}[\w+/-]))(?:{_LINE}[\w+/-]++)*+={{0,2}}", re.A)
 _SEGMENT = re.compile(r"[^/_-]*[/_-]*")
-_ARCHIVE = re.compile(rb"\x1f\x8b|BZh|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|\x78[\x01\x5e\x9c\xda]")
+_MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+_FIRST = re.compile(rb"(?s).")
+_WIDE = re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){14}|(?:\x00[\t\n\r\x20-\x7e]){14}")
+_DAMAGE = (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError)
+_ZSTD = type(zstandard.ZstdDecompressor().decompressobj())
 _LEGIBLE = re.compile(rb"[\t\n\r\x20-\x7e]{14,}")  # the shortest finding, token=12345678
 _CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f￾￿]")
 
@@ -70,33 +76,63 @@ def scan(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def _inflate(data: bytes) -> bytes | None:
-    """The bytes one compression layer down; None if there is none."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            return _bounded(zlib.decompressobj(31), data)
-        if data[:3] == b"BZh":
-            return _bounded(bz2.BZ2Decompressor(), data)
-        if data[:6] == b"\xfd7zXZ\x00":
-            return _bounded(lzma.LZMADecompressor(), data)
-        if data[:4] == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor().stream_reader(data) as r:
-                out = r.read(MAX_INFLATE + 1)
-            if len(out) > MAX_INFLATE:
-                raise TooLarge
-            return out
-        if len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0:
-            return _bounded(zlib.decompressobj(15), data)
-    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError):
-        pass
+def _decompressor(head: bytes):
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    if head[:4] == b"\x28\xb5\x2f\xfd":
+        return zstandard.ZstdDecompressor().decompressobj()
+    if len(head) > 2 and head[0] == 0x78 and (head[0] * 256 + head[1]) % 31 == 0:
+        return zlib.decompressobj(15)
     return None
 
 
-def _bounded(d, data: bytes) -> bytes | None:
-    out = d.decompress(data, MAX_INFLATE + 1)
-    if len(out) > MAX_INFLATE:
-        raise TooLarge
-    return out if d.eof else None
+def _stream(data: bytes) -> tuple[bytes, bytes, bool] | None:
+    """One compressed stream's bytes, what follows it, and whether it was whole; None if there is none.
+
+    Of a cut or damaged stream come the bytes that can still be read.
+    """
+    if (d := _decompressor(data[:6])) is None:
+        return None
+    out, size, step = [], 0, 256
+    for at in range(0, len(data), step):
+        before = d.copy() if hasattr(d, "copy") else None
+        piece, failed = data[at : at + step], False
+        try:
+            out.append(d.decompress(piece, MAX_INFLATE + 1 - size) if not isinstance(d, _ZSTD) else d.decompress(piece))
+        except _DAMAGE:
+            failed = True
+            for k in range(len(piece) if before is not None else 0):  # up to the damaged byte
+                try:
+                    out.append(before.decompress(piece[k : k + 1], MAX_INFLATE + 1 - size))
+                except _DAMAGE:
+                    break
+        size = size + len(out[-1]) if out and not failed else sum(map(len, out))
+        if size > MAX_INFLATE:
+            raise TooLarge
+        if failed:
+            break
+        if d.eof:
+            return b"".join(out), d.unused_data + data[at + step :], True
+    got = b"".join(out)
+    return (got, b"", False) if got or _MAGIC.match(data) else None
+
+
+def _inflate(data: bytes) -> bytes | None:
+    """The bytes one compression layer down, all members joined; None unless every stream is whole."""
+    out, size = [], 0
+    while data.strip(b"\0"):
+        if (got := _stream(data)) is None or not got[2]:
+            return None
+        out.append(got[0])
+        size += len(got[0])
+        if size > MAX_INFLATE:
+            raise TooLarge
+        data = got[1]
+    return b"".join(out) if out else None
 
 
 def open_bytes(data: bytes) -> str | None:
@@ -114,6 +150,55 @@ def open_bytes(data: bytes) -> str | None:
     return None if not text or _CONTROL.search(text) else text
 
 
+def salvage(data: bytes) -> tuple[list[str], int]:
+    """Readings of what is inside bytes, and the count of streams not read to their end.
+
+    Archives are opened wherever their magic stands, inside each other too, and read as far as they
+    go. Bytes are read as Latin-1 (the patterns are ASCII), control characters staying between the
+    words, and as UTF-16 where they look like it; the bytes given are for the caller to read as
+    Latin-1. Bytes without a legible stretch give no reading.
+    """
+    first, texts, lost, size, seen, work = data, _wide(data), 0, 0, set(), [data]
+    while work:
+        data = work.pop()
+        if (digest := hashlib.sha256(data).digest()) in seen:
+            continue
+        seen.add(digest)
+        at, members = 0, []
+        while m := (_MAGIC.search(data, at) if at or _decompressor(data[:6]) is None else _FIRST.match(data)):
+            at = m.start() + 1
+            try:
+                if (got := _stream(data[m.start() :])) is None:
+                    continue
+                inner, rest, whole = got
+                size += len(inner)
+                if size > MAX_INFLATE:
+                    raise TooLarge
+            except TooLarge:
+                lost += 1
+                continue
+            members.append(inner)
+            if whole:
+                at = len(data) - len(rest)
+                if rest[:1] == b"\x78":
+                    work.append(rest)
+            else:
+                lost += len(inner) >= 14 or _MAGIC.match(data, m.start()) is not None
+        work += members
+        if len(members) > 1:
+            work.append(b"".join(members))
+        if data is not first:
+            texts += _wide(data)
+            if _LEGIBLE.search(data):
+                texts.append(data.decode("latin-1"))
+    return texts, lost
+
+
+def _wide(data: bytes) -> list[str]:
+    """Both alignments of bytes that look like UTF-16."""
+    return [(data[k:] + b"\0" * ((len(data) - k) % 2)).decode("utf-16-le", "replace") for k in (0, 1)] if _WIDE.search(data) else []
+
+
 class Layer:
     """A decoded text and where its decoded pieces come from in the layer above."""
 
@@ -155,20 +240,21 @@ def _replaced(layer: Layer, swaps: list[tuple[int, int, str]]) -> Layer | None:
     return Layer(layer, "".join(out), pieces)
 
 
-def _percent(layer: Layer, missed: list[int]) -> Layer | None:
+def _percent(layer: Layer, missed: set[tuple[int, int]]) -> list[Layer]:
     if "%" not in layer.text:
-        return None
-    swaps = []
+        return []
+    swaps, loose = [], []
     for m in _PERCENT.finditer(layer.text):
         data = bytes.fromhex(m[0].replace("%", ""))
         try:
-            opened = open_bytes(data) if _inflate(data) is not None else None
-        except TooLarge:
-            missed[0] += 1
-            continue
+            opened = open_bytes(data) if _decompressor(data[:6]) is not None and _inflate(data) is not None else None
+        except TooLarge:  # counted below
+            opened = None
         if opened is not None:
             swaps.append((m.start(), m.end(), opened))
             continue
+        if _MAGIC.search(data) or _WIDE.search(data) or _decompressor(data[:6]) is not None:
+            loose += _salvaged(layer, data, m.start(), m.end(), missed)
         try:
             chars = data.decode("utf-8")
         except UnicodeDecodeError:
@@ -180,10 +266,17 @@ def _percent(layer: Layer, missed: list[int]) -> Layer | None:
             n = 3 * len(c.encode())
             swaps.append((at, at + n, c))
             at += n
-    return _replaced(layer, swaps)
+    return [x for x in (_replaced(layer, swaps), *loose) if x is not None]
 
 
-def _unicode(layer: Layer, missed: list[int]) -> Layer | None:
+def _salvaged(layer: Layer, data: bytes, start: int, end: int, missed: set[tuple[int, int]]) -> list[Layer]:
+    texts, lost = salvage(data)
+    if lost:
+        missed.add(layer.origin(start, end))
+    return [Layer(layer, t, [(0, len(t), start, end)]) for t in texts if t]
+
+
+def _unicode(layer: Layer, missed: set[tuple[int, int]]) -> Layer | None:
     if "\\" not in layer.text:
         return None
     swaps = []
@@ -228,7 +321,7 @@ def _lines(m: re.Match) -> list[tuple[int, int, str]]:
     return [*out, (at, m.end(), m.string[at : m.end()].rstrip("="))]
 
 
-def _base64(layer: Layer, missed: list[int]) -> list[Layer]:
+def _base64(layer: Layer, missed: set[tuple[int, int]]) -> list[Layer]:
     """The layer with its runs opened, and readings of what does not open whole.
 
     Consecutive lines make one run. Where it does not open from its first character, its lines are
@@ -256,7 +349,7 @@ def _base64(layer: Layer, missed: list[int]) -> list[Layer]:
     return [x for x in (_replaced(layer, swaps), *loose) if x is not None]
 
 
-def _readings(layer: Layer, lines: list[tuple[int, int, str]], run: str, missed: list[int]) -> list[Layer]:
+def _readings(layer: Layer, lines: list[tuple[int, int, str]], run: str, missed: set[tuple[int, int]]) -> list[Layer]:
     segments, size = [], 0
     for start, end, part in lines:
         cuts = [c.start() for c in _SEGMENT.finditer(part) if c[0]]
@@ -267,23 +360,19 @@ def _readings(layer: Layer, lines: list[tuple[int, int, str]], run: str, missed:
     for phase in range(4):
         if _LEGIBLE.search(data := _decoded(run[phase:])):
             out.append(_Run(layer, data, phase, segments))
-        for first, start, _ in segments:
-            at = (first - phase) // 4 * 3
-            if first >= phase and (first - phase) % 4 == 0 and _ARCHIVE.match(data, at):
-                try:
-                    text = open_bytes(data[at:])
-                except TooLarge:
-                    missed[0] += 1
-                    continue
-                if text is not None:
-                    out.append(Layer(layer, text, [(0, len(text), start, lines[-1][1])]))
+        out += [Layer(layer, t, [(0, len(t), lines[0][0], lines[-1][1])]) for t in _wide(data)]
+        begun = {m.start() for m in [_MAGIC.search(data)] if m}
+        begun |= {at for first, _, _ in segments if first >= phase and (first - phase) % 4 == 0 and data[(at := (first - phase) // 4 * 3) : at + 1] == b"x"}
+        for at in sorted(begun):
+            place = bisect_right(segments, (phase + at * 4 // 3, len(layer.text))) - 1
+            out += _salvaged(layer, data[at:], segments[place][1], lines[-1][1], missed)
     return out
 
 
 def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int]:
     """Base spans, all spans (both ``(start, kind, end)``, sorted), runs left unopened."""
     base = scan(text)
-    spans, seen, missed = set(base), {text}, [0]
+    spans, seen, missed = set(base), {text}, set()
     work = [Layer(None, text, [])]
     while work:
         layer = work.pop()
@@ -291,11 +380,11 @@ def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
             for start, kind, end in scan(layer.text):
                 a, b = layer.origin(start, end)
                 spans.add((a, kind, b))
-        for nxt in (_percent(layer, missed), _unicode(layer, missed), *_base64(layer, missed)):
+        for nxt in (*_percent(layer, missed), _unicode(layer, missed), *_base64(layer, missed)):
             if nxt is not None and nxt.text not in seen:
                 seen.add(nxt.text)
                 work.append(nxt)
-    return base, sorted(spans), missed[0]
+    return base, sorted(spans), len(missed)
 
 
 def spell(spans: list[tuple[int, int, int]]) -> str:

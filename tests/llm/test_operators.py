@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import base64
+import bz2
 import gzip
 import hashlib
 import html as html_lib
+import lzma
 import math
 import random
 import re
@@ -146,6 +148,30 @@ def test_secrets_in_base64_behind_a_path(pack, head):
     assert k == 0 and len(head) <= a < b <= len(head + run)
 
 
+_KEY = b"password=hunter2hunter2\n"
+_LINES = "".join(random.Random(6).choices("abcdefghij \n", k=4000)).encode()
+
+
+@pytest.mark.parametrize(
+    ("data", "unread"),
+    [
+        (b"\x1b[31m" + _KEY + b"\x1b[0m", 0), ("caf\xe9 ".encode("latin-1") + _KEY, 0), (_KEY.decode().encode("utf-16"), 0), (_KEY.decode().encode("utf-16-be"), 0), (b"\x7fELF\0\0" + _KEY + b"\0\xff", 0),
+        (gzip.compress(b"conf\0\0\0" + _KEY + bytes(900)), 0), (gzip.compress(b"one") + gzip.compress(_KEY), 0), (bz2.compress(b"one") + bz2.compress(_KEY), 0), (gzip.compress(b"one") + _KEY, 0),
+        (gzip.compress(_KEY + _LINES)[:900], 1), (zlib.compress(_KEY + _LINES)[:900], 1), (gzip.compress(_KEY + _LINES)[:900] + b"\xff" * 90, 1), (b"\0\xff" + gzip.compress(gzip.compress(_KEY) + b"\0\xff"), 0),
+    ],
+    ids=range(13),
+)
+def test_secrets_in_bytes_that_are_no_clean_text(data, unread):
+    run = base64.b64encode(data).decode()
+    _, spans, missed = secrets.find(f"see {run} end")
+    assert spans and all(k == 0 and 4 <= a < b <= 4 + len(run) for a, k, b in spans)
+    assert missed == unread
+
+
+def test_secret_archive_without_a_readable_part_is_counted():
+    assert secrets.find(base64.b64encode(lzma.compress(_LINES)[:40]).decode())[1:] == ([], 1)
+
+
 def test_secret_query(spark, sf, cases, none):
     got = {r.doc_id: r for r in secrets.secret_spans(spark.read.parquet(f"{sf}/documents.parquet")).collect()}
     for i, t in texts(spark.read.parquet(f"{sf}/documents.parquet")).items():
