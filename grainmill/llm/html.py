@@ -2,7 +2,8 @@
 
 A page is parsed into a tree of elements in one pass (implied end tags of paragraphs and list items,
 raw-text elements and unclosed tags are handled). Elements that are never article text are ruled
-out by tag, role or class. Every block of text then passes points for its length and commas to its
+out by tag, role or class; a class or id counts only against elements whose text looks the part
+(short or full of links, see ``ruled_out``), never against most of the page's text. Every block of text then passes points for its length and commas to its
 parent, half of them to the grandparent and less further up; a container's points are discounted by
 its link density, the best container is kept, or the article around it, with those of its siblings
 that score well themselves. Kept blocks are joined in page order; nothing is cut from them.
@@ -47,6 +48,13 @@ NEGATIVE = COMMENTS | frozenset(
     " cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login search share sharing social related recommended"
     " recommendations breadcrumb breadcrumbs pagination pager toolbar widget widgets skip hidden copyright legal".split()
 )
+#: words that name parts of articles too
+WEAK = frozenset(
+    "related search social share sharing legal copyright header notice notices alert notification widget widgets toolbar skip recommended recommendations discussion navigation consent"
+    " overlay promotion subscription advertising advertisement sponsor menu footer hidden login signup".split()
+)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_BOXES = frozenset("div ul ol dl table aside header footer nav form".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 _POSITIVE = frozenset("article content post entry story main body text".split())
 _BONUS = {"article": 30.0, "main": 25.0, "section": 3.0, "div": 3.0, "td": 2.0, "blockquote": 2.0}
@@ -56,7 +64,7 @@ class _Page:
     """Elements as parallel lists; element 0 is the page itself."""
 
     def __init__(self, source: str):
-        self.tag, self.up, self.by_tag, self.by_name, self.comments, self.bonus = ["#"], [0], [False], [False], [False], [0.0]
+        self.tag, self.up, self.by_tag, self.by_name, self.comments, self.bonus = ["#"], [0], [False], [0], [False], [0.0]
         self.events: list[tuple[int, str | None]] = []  # (element, text), or None where a block ends
         stack, at = [0], 0
         while m := _TOKEN.search(source, at):
@@ -91,14 +99,16 @@ class _Page:
         self.events.append((0, None))
 
     def _open(self, stack: list[int], name: str, attrs: str) -> None:
-        by_tag, by_name, comments, bonus = name in GONE, False, False, _BONUS.get(name, 0.0)
+        by_tag, by_name, comments, bonus = name in GONE, 0, False, _BONUS.get(name, 0.0)
         if "=" in attrs or "hidden" in attrs:
             for m in _ATTR.finditer(attrs):
                 key, value = m[1].lower(), (m[2] or m[3] or m[4] or "")
                 if key in ("class", "id"):
                     words = {w.lower() for w in _CAMEL.split(value) if w}
-                    comments = comments or bool(words & COMMENTS)
-                    by_name = by_name or bool(words & NEGATIVE)
+                    if words & NEGATIVE and not (key == "id" and (name in _HEADINGS or name == "p")):  # an anchor's id is made of the heading's words
+                        strong = bool(words & NEGATIVE - WEAK) and (key == "class" or name in _BOXES or bool(words & COMMENTS - WEAK))
+                        by_name = max(by_name, 1 + strong)
+                        comments = comments or bool(words & COMMENTS - WEAK)
                     bonus += 10.0 * bool(words & _POSITIVE)
                 elif key == "role":
                     by_tag = by_tag or value.lower() in _ROLES
@@ -111,12 +121,12 @@ class _Page:
         if name == "header" and not any(self.tag[i] in ("article", "main") for i in stack):
             by_tag = True
         if name in ("html", "body"):
-            by_name = by_tag = comments = False
+            by_name, by_tag, comments = 0, False, False
         elif name in ("article", "main"):
-            by_name = comments
+            by_name = 2 * comments
             if not by_name and not any(self.comments[i] for i in stack):
                 for i in stack:  # a wrapper of the article is no sidebar, whatever its class says
-                    self.by_name[i] = False
+                    self.by_name[i] = 0
         self.tag.append(name)
         self.up.append(stack[-1])
         self.by_tag.append(by_tag)
@@ -147,6 +157,55 @@ class _Page:
             if tag in _SCOPE and name not in _SCOPE:
                 return
 
+    def ruled_out(self) -> list[bool]:
+        """Whether an element's class or id rules it out, given the text it holds; spares page-wide forms.
+
+        Strong words (2) rule out all but what holds most of the page's unlinked text, or long prose
+        inside the article; weak words (1) only lists of links, and short bits outside the article.
+        Comments are spared only around the page's headline, or nearly all of its text.
+        """
+        n = len(self.tag)
+        size, links, link, gone, inside = [0] * n, [0] * n, [False] * n, [False] * n, [False] * n
+        holds: list[set[str]] = [set() for _ in range(n)]
+        for i in range(1, n):
+            up = self.up[i]
+            gone[i] = gone[up] or self.by_tag[i] and self.tag[i] != "form"
+            link[i] = link[up] or self.tag[i] == "a"
+            inside[i] = inside[up] or self.tag[up] in ("article", "main")
+        for at, text in self.events:
+            if text is not None and not gone[at]:
+                k = len(" ".join(text.split()))
+                size[at] += k
+                links[at] += k * link[at]
+        for i in range(n - 1, 0, -1):
+            up = self.up[i]
+            size[up] += size[i]
+            links[up] += links[i]
+            if size[i]:
+                if self.tag[i] in _HEADINGS or self.tag[i] in ("p", "article", "main"):
+                    holds[i].add(self.tag[i])
+                holds[up] |= holds[i]
+        prose = [k - j for k, j in zip(size, links)]
+        for i in range(1, n):
+            if self.tag[i] == "form" and self.by_tag[i] and 2 * prose[i] >= prose[0] and (prose[i] >= 140 or holds[i] & {"p", "h1", "article", "main"}):
+                self.by_tag[i] = False
+        out = [False] * n
+        for i in range(1, n):
+            if not self.by_name[i]:
+                continue
+            dense, most = links[i] > 0.3 * size[i], prose[i] >= 0.6 * prose[0] and bool(prose[i])
+            if self.comments[i]:
+                out[i] = not (most and ("h1" in holds[i] or prose[i] >= 0.9 * prose[0]))
+            elif most:
+                out[i] = False
+            elif self.by_name[i] == 2:
+                out[i] = dense or not inside[i] or prose[i] < 300
+            else:
+                out[i] = dense or not inside[i] and size[i] < 140 and not holds[i] & _HEADINGS
+            if not out[i] and not inside[i] and not most:
+                self.bonus[i] -= 25.0
+        return out
+
     def blocks(self, names: list[bool]) -> list[tuple[int, str, int]]:
         """``(element, text, link characters)`` of the blocks that are not ruled out."""
         n = len(self.tag)
@@ -221,7 +280,7 @@ def main_text(source: str) -> str:
     if not source or not source.strip():
         return ""
     page = _Page(source)
-    blocks = page.blocks(page.by_name) or page.blocks(page.comments) or page.blocks([False] * len(page.tag))
+    blocks = page.blocks(page.ruled_out()) or page.blocks(page.comments) or page.blocks([False] * len(page.tag))
     if not blocks:
         return ""
     chosen = _best(page, blocks)

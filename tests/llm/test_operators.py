@@ -524,6 +524,30 @@ def test_html_forms(source, want):
     assert html.main_text(source) == want
 
 
+_PROSE = "<p>Words of the article, with commas, go on for a while, as prose does, and then some more of it follows here.</p>"
+
+
+@pytest.mark.parametrize(
+    ("source", "least"),
+    [
+        ("<article><h1>T</h1>" + _PROSE + "<section id='related-work'><h2>R</h2><p>Others did it.</p></section><p>z</p></article>", "Others did it."),
+        ("<article><h1>T</h1>" + _PROSE + "<h2 id='search-results'>Results found</h2><p>z</p></article>", "Results found"),
+        ("<article><h1>T</h1>" + _PROSE + "<div class='social-history'><p>Never smoked.</p></div></article>", "Never smoked."),
+        ("<article><h1>T</h1>" + _PROSE + "<section id='discussion'>" + _PROSE + "</section><p>z</p></article>", "T Words of the article, with commas, go on for a while, as prose does, and then some more of it follows here. Words"),
+        ("<div>stray line</div><div class='layout with-sidebar'><div><h1>T</h1>" + _PROSE * 3 + "</div></div>", "T Words"),
+        ("<form id='aspnetForm'><div><h1>T</h1>" + _PROSE * 3 + "</div></form>", "T Words"),
+    ],
+    ids=range(6),
+)
+def test_html_names_do_not_cut_the_article(source, least):
+    assert least in html.main_text(source)
+
+
+def test_html_names_still_rule_out_what_is_none_of_it():
+    chrome = "<div class='sidebar'><p>Read our other stories, they are good.</p></div><div class='share'><a href=x>Post it</a></div><form><label>Mail</label></form>"
+    assert html.main_text("<div class=page><div><h1>T</h1>" + _PROSE * 2 + chrome + "</div></div>") == " ".join(["T", *[_PROSE[3:-4]] * 2])
+
+
 def test_html_edges(spark):
     rows = [(1, "u", None, "x"), (1, "u", None, "x"), (None, None, "<p>t</p>", "y"), (2, "v", "<div>" * 3000 + "deep" + "</div>" * 3000, "z"), (3, "w", "<article>" + "<p>word</p>" * 20_000, "n")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
