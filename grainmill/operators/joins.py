@@ -111,16 +111,19 @@ def resolve_pdf(rows: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def fuzzy_titles(rows: DataFrame, files: DataFrame, least: float = 0.55) -> DataFrame:
-    """Candidate ``(line, name, score)`` by title similarity.
+    """Candidate ``(line, name, score)`` by title similarity, over all pairs as the reference does.
 
-    Titles are blocked by shared words of four letters or more, so only pairs with a word in
-    common are scored; the reference scores all pairs, and pairs without any common word stay
-    below the threshold but for titles of short words only.
+    A nested loop, but only pairs that can reach ``least`` are scored: a title inside the other, or
+    enough letters in common (their multiset bounds the matching blocks, so no match is lost).
     """
-    a = rows.select("line", T.fold_accents("title").alias("a"))
-    b = files.select("name", T.fold_accents(F.regexp_replace("name", r"\.pdf$", "")).alias("b"))
-    words = lambda c: F.explode(F.array_distinct(F.filter(F.split(c, " "), lambda w: F.length(w) >= 4)))
-    pairs = a.select("line", "a", words(F.col("a")).alias("w")).join(b.select("name", "b", words(F.col("b")).alias("w")), "w").select("line", "name", "a", "b").distinct()
+    chars = "abcdefghijklmnopqrstuvwxyz0123456789 "
+    counts = lambda c: F.array(*[F.length(c) - F.length(F.replace(c, F.lit(x), F.lit(""))) for x in chars])
+    a = rows.select("line", T.fold_accents("title").alias("a")).withColumn("ca", counts(F.col("a")))
+    b = files.select("name", T.fold_accents(F.regexp_replace("name", r"\.pdf$", "")).alias("b")).withColumn("cb", counts(F.col("b")))
+    common = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    total = F.length("a") + F.length("b")
+    near = (2 * F.least(F.length("a"), F.length("b")) >= (least - 0.001) * total) & (2 * common >= (least - 0.001) * total)
+    pairs = a.join(b, F.contains("a", "b") | F.contains("b", "a") | near).select("line", "name", "a", "b").distinct()
     return pairs.select("line", "name", F.round(T.title_similarity("a", "b"), 3).alias("score")).where(F.col("score") >= least)
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import difflib
 import json
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -93,6 +96,24 @@ def test_titles_and_assignment(spark):
     assert rows(best, "line", "name") == [(1, "Deep Learning for Plants.pdf"), (2, "soil carbon forests.pdf")]
 
 
+def test_fuzzy_titles_equal_all_pairs(spark):
+    rng = random.Random(4)
+    words = "snow albedo feedback arctic sea ice model ozone CO2 nox soil".split()
+    titles = ["snow albedo feedback", "sea ice", "Nox", "", *[" ".join(rng.choices(words, k=rng.randrange(1, 6))) for _ in range(25)]]
+    names = ["SnowAlbedoFeedback2019.pdf", "seaice-model.pdf", "a_nox_b.pdf", *["".join(c for c in " ".join(rng.choices(words, k=rng.randrange(1, 6))) if rng.random() > 0.15).replace(" ", rng.choice(["", "-", " "])) + f"{k}.pdf" for k in range(25)]]
+    got = joins.fuzzy_titles(spark.createDataFrame(list(enumerate(titles)), "line int, title string"), spark.createDataFrame([(n,) for n in names], "name string"))
+    fold = lambda t: " ".join(re.sub("[^a-z0-9]", " ", t.lower()).split())
+    want = set()
+    for k, t in enumerate(titles):
+        for n in names:
+            x, y = fold(t), fold(n[:-4])
+            if x and y:
+                score = max(0.75, min(len(x), len(y)) / max(len(x), len(y))) if x in y or y in x else difflib.SequenceMatcher(None, x, y).ratio()
+                if score >= 0.55:
+                    want.add((k, n))
+    assert {(r.line, r.name) for r in got.collect()} == want and (0, "SnowAlbedoFeedback2019.pdf") in want
+
+
 def test_partners_and_reconcile(spark):
     df = spark.createDataFrame([(i, f"r{i}") for i in range(5)], "row_ord int, id string")
     assert rows(joins.partners(df), "id", "partner_id") == [("r0", "r2"), ("r1", "r3"), ("r2", "r4"), ("r3", "r0"), ("r4", "r1")]
