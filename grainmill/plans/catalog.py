@@ -368,6 +368,16 @@ def first_number(spark, d):
     return table(spark, d, "documents").select("doc_id", F.md5(F.when(F.regexp_like("text", F.lit("[0-9]")), F.concat(F.regexp_extract("text", pat, 1), new))).alias("head_md5"))
 
 
+_NUM = r"(?s)^(.*?)([0-9]+(?:[.][0-9]+)?)(.*)$"
+
+
+@query(f"""SELECT doc_id, md5(head || CASE WHEN n >= 1 THEN floor(n * 1.4 + 1)::HUGEINT::VARCHAR ELSE round(n + 0.15, 2)::VARCHAR END || tail) AS flipped_md5
+ FROM (SELECT doc_id, regexp_extract(text, '{_NUM}', 1) AS head, TRY_CAST(regexp_extract(text, '{_NUM}', 2) AS DOUBLE) AS n, regexp_extract(text, '{_NUM}', 3) AS tail FROM documents)""")
+def flip_number(spark, d):
+    """The whole text with its first number raised."""
+    return table(spark, d, "documents").select("doc_id", F.md5(T.flip_number("text")).alias("flipped_md5"))
+
+
 @query("""SELECT doc_id, priority FROM (SELECT d.doc_id, CAST(CASE WHEN l.doc_id IS NULL THEN 0 WHEN l.toxic = 1 AND l.quality = 1 THEN 1 WHEN l.toxic = 1 THEN 2 WHEN l.quality = 1 THEN 3 WHEN length(d.text) > 2000 THEN 4 ELSE 5 END AS BIGINT) AS priority
  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id) ORDER BY priority, doc_id LIMIT 200""")
 def review_queue(spark, d):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
+import re
 
 import duckdb
 import pandas as pd
@@ -46,3 +48,14 @@ def test_repair_query(spark, sf):
 def test_entry(spark):
     assert entry.entry(spark).columns == ["doc_id", "item_id"]
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_flip_number_covers_whole_texts(spark, duck, sf):
+    docs = dict(duck.execute("SELECT doc_id, text FROM documents").fetchall())
+    got = {r.doc_id: r.flipped_md5 for r in QUERIES["flip_number"](spark, sf).collect()}
+    assert got.keys() == docs.keys() and any(got.values())
+    for i, t in docs.items():
+        m = re.search(r"[0-9]+(?:\.[0-9]+)?", t or "")
+        n = m and float(m[0])
+        want = m and t[: m.start()] + (str(math.floor(n * 1.4 + 1)) if n >= 1 else str(round(n + 0.15, 2))) + t[m.end() :]
+        assert got[i] == (want and hashlib.md5(want.encode()).hexdigest())
