@@ -359,6 +359,18 @@ def polarity_flip(spark, d):
     return table(spark, d, "documents").where("lang = 'en'").select("doc_id", F.md5(T.flip_polarity("text", _TOY)).alias("flipped_md5"))
 
 
+_SWAPS = T.SWAPS + _TOY
+
+
+_OUT = r"[^\p{L}\p{N}_]"  # \b of DuckDB knows ASCII letters only
+
+
+@query("SELECT doc_id, md5(CASE " + " ".join(rf"WHEN regexp_matches(text, '(?i)(^|{_OUT}){a}($|{_OUT})') THEN regexp_replace(text, '(?i)(^|{_OUT}){a}($|{_OUT})', '\1{b}\2')" for a, b in _SWAPS) + " END) AS flipped_md5 FROM documents")
+def polarity_flip_all(spark, d):
+    """The first of all swaps that applies, made once, in documents of every language."""
+    return table(spark, d, "documents").select("doc_id", F.md5(T.flip_polarity("text", _SWAPS)).alias("flipped_md5"))
+
+
 @query(r"""SELECT doc_id, md5(CASE WHEN regexp_matches(text, '[0-9]') THEN regexp_extract(text, '(?s)^(.*?)([0-9]+)', 1) || (regexp_extract(text, '(?s)^(.*?)([0-9]+)', 2)::HUGEINT % 1000 + 1)::VARCHAR END) AS head_md5 FROM documents""")
 def first_number(spark, d):
     """The text up to its first whole number, that number changed."""

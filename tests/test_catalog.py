@@ -11,6 +11,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from grainmill.functions.text import SWAPS
 from grainmill.plans.catalog import ORACLE_SQL, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -59,3 +60,12 @@ def test_flip_number_covers_whole_texts(spark, duck, sf):
         n = m and float(m[0])
         want = m and t[: m.start()] + (str(math.floor(n * 1.4 + 1)) if n >= 1 else str(round(n + 0.15, 2))) + t[m.end() :]
         assert got[i] == (want and hashlib.md5(want.encode()).hexdigest())
+
+
+def test_polarity_flip_covers_all_languages(spark, duck, sf):
+    docs = dict(duck.execute("SELECT doc_id, text FROM documents").fetchall())
+    got = {r.doc_id: r.flipped_md5 for r in QUERIES["polarity_flip_all"](spark, sf).collect()}
+    assert got.keys() == docs.keys()
+    for i, t in docs.items():
+        flips = (re.sub(rf"(?i)\b{a}\b", b, t or "", count=1) for a, b in (*SWAPS, ("the", "no"), ("and", "or"), ("que", "qui")) if re.search(rf"(?i)\b{a}\b", t or ""))
+        assert got[i] == next((hashlib.md5(f.encode()).hexdigest() for f in flips), None)
