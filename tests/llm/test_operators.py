@@ -7,16 +7,20 @@ import bz2
 import gzip
 import hashlib
 import html as html_lib
+import io
 import lzma
 import math
 import random
 import re
+import time
 import urllib.parse
+import zipfile
 import zlib
 
 import numpy as np
 import pytest
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 from grainmill.llm import components, embeddings, html, licenses, packing, pieces, quality, queries, secrets, simhash, tokenfile, tokenio, tokens, topk
@@ -127,6 +131,69 @@ def test_secret_cycles_and_bombs_end(monkeypatch):
     assert secrets.find("%25" * 50)[0] == []
 
 
+def test_secrets_in_long_nested_texts_take_linear_steps():
+    for t in ("%" + "25" * 300_000, "\\" + "u005c" * 100_000 + "u0041", "%" + "5cu0025" * 60_000 + "41", "%2" * 60_000 + "5" + "35" * 60_000):
+        began = time.process_time()
+        spans = secrets.find("token=abcdefg" + t)[1]
+        assert time.process_time() - began < 5
+        assert spans
+
+
+def escaped(text, rng, depth):
+    """The text with characters spelt as escapes, whose characters may be spelt so again."""
+    for _ in range(depth):
+        out = []
+        for c in text:
+            form = rng.randrange(12)
+            out.append(f"%{ord(c):02x}" if form == 0 else f"\\u{ord(c):04x}" if form == 1 else f"&#{ord(c)};" if form == 2 else f"\\x{ord(c):02X}" if form == 3 else f"%u{ord(c):04x}" if form == 4 else c)
+        text = "".join(out)
+    return text
+
+
+def test_secrets_behind_random_escapes():
+    rng = random.Random(12)
+    for k in range(400):
+        coded = escaped("password=hunter2hunter2", rng, 1 + k % 4)
+        spans = secrets.find(f"é {coded} end")[1]
+        assert (2, 0, 2 + len(coded)) in spans, coded
+
+
+def raw_deflate(data):
+    c = zlib.compressobj(9, zlib.DEFLATED, -15)
+    return c.compress(data) + c.flush()
+
+
+def zipped(data):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("one.txt", b"nothing here " * 9)
+        z.writestr("two.txt", data * 4)
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("spell", [lambda d: base64.b64encode(d).decode(), urllib.parse.quote_from_bytes, urllib.parse.quote_plus], ids=["base64", "quote", "quote_plus"])
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, lambda d: lzma.compress(d, lzma.FORMAT_ALONE), zstandard.compress, zipped, lambda d: gzip.compress(b"one") + gzip.compress(d)], ids=range(8))
+def test_secrets_in_archives_however_spelt(pack, spell):
+    run = spell(pack(b"password=hunter2hunter2 \n"))
+    _, spans, missed = secrets.find(f"see {run} end")
+    assert missed == 0 and spans and all(k == 0 and 4 <= a < b <= 4 + len(run) for a, k, b in spans)
+
+
+def test_secrets_in_headless_deflate():
+    run = base64.b64encode(raw_deflate(b"password=hunter2hunter2 and so on " * 4)).decode()
+    assert secrets.find(run)[1:] == ([(0, 0, len(run))], 0)
+
+
+def test_large_archives_are_streamed(monkeypatch):
+    monkeypatch.setattr(secrets, "HELD", 1 << 20)
+    monkeypatch.setattr(secrets, "WINDOW", 1 << 18)
+    for pack in (gzip.compress, bz2.compress, lzma.compress, zstandard.compress):
+        for at in (0, 1 << 18, 3 << 20):
+            run = base64.b64encode(pack(b" " * at + b"password=hunter2hunter2" + b" " * ((3 << 20) - at))).decode()
+            _, spans, missed = secrets.find(f"x {run} y")
+            assert missed == 0 and spans == [(2, 0, 2 + len(run))]
+
+
 @pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress])
 @pytest.mark.parametrize("line_end", ["\n", "\r\n  "])
 def test_secrets_in_wrapped_base64(pack, line_end):
