@@ -29,13 +29,14 @@ _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""",
     re.S,
 )
-_ATTR = re.compile(r"""\b(class|id|role|aria-hidden|hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_READ = frozenset("class id role aria-hidden hidden style".split())
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z0-9]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 BLOCK = frozenset("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
-GONE = frozenset("nav footer aside form noscript svg math canvas object button select dialog template menu head audio video map".split())
+GONE = frozenset("nav footer aside form noscript svg annotation annotation-xml canvas object button select dialog template menu head audio video map".split())
 PARAGRAPH = frozenset("p pre td th li blockquote h1 h2 h3 h4 h5 h6 dd dt figcaption".split())
 _CLOSES_P = BLOCK - {"br", "option", "body", "html", "head", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "legend", "summary"}
 _SCOPE = frozenset("article aside body div figure footer form header html main nav section table td th ul ol blockquote".split())
@@ -66,6 +67,8 @@ class _Page:
     def __init__(self, source: str):
         self.tag, self.up, self.by_tag, self.by_name, self.comments, self.bonus = ["#"], [0], [False], [0], [False], [0.0]
         self.events: list[tuple[int, str | None]] = []  # (element, text), or None where a block ends
+        self.places: dict[str, list[int]] = {}  # tag to its open elements' places on the stack
+        self.scopes, self.talk, self.cleared = [], 0, 0  # places of open containers; open comment sections; places cleared of class words
         stack, at = [0], 0
         while m := _TOKEN.search(source, at):
             if m.start() > at:
@@ -103,6 +106,8 @@ class _Page:
         if "=" in attrs or "hidden" in attrs:
             for m in _ATTR.finditer(attrs):
                 key, value = m[1].lower(), (m[2] or m[3] or m[4] or "")
+                if key not in _READ:
+                    continue
                 if key in ("class", "id"):
                     words = {w.lower() for w in _CAMEL.split(value) if w}
                     if words & NEGATIVE and not (key == "id" and (name in _HEADINGS or name == "p")):  # an anchor's id is made of the heading's words
@@ -118,44 +123,50 @@ class _Page:
                     by_tag = True
                 elif "display:none" in value.replace(" ", "").lower():
                     by_tag = True
-        if name == "header" and not any(self.tag[i] in ("article", "main") for i in stack):
+        if name == "header" and not (self.places.get("article") or self.places.get("main")):
             by_tag = True
         if name in ("html", "body"):
             by_name, by_tag, comments = 0, False, False
         elif name in ("article", "main"):
             by_name = 2 * comments
-            if not by_name and not any(self.comments[i] for i in stack):
-                for i in stack:  # a wrapper of the article is no sidebar, whatever its class says
+            if not by_name and not self.talk:
+                for i in stack[self.cleared :]:  # a wrapper of the article is no sidebar, whatever its class says
                     self.by_name[i] = 0
+                self.cleared = len(stack)
         self.tag.append(name)
         self.up.append(stack[-1])
         self.by_tag.append(by_tag)
         self.by_name.append(by_name)
         self.comments.append(comments)
         self.bonus.append(bonus)
+        self.places.setdefault(name, []).append(len(stack))
+        if name in _SCOPE:
+            self.scopes.append(len(stack))
+        self.talk += comments
         stack.append(len(self.tag) - 1)
 
+    def _cut(self, stack: list[int], k: int) -> None:
+        """Close all elements from a place of the stack on."""
+        while len(stack) > k:
+            i = stack.pop()
+            self.places[self.tag[i]].pop()
+            self.talk -= self.comments[i]
+        while self.scopes and self.scopes[-1] >= k:
+            self.scopes.pop()
+        self.cleared = min(self.cleared, k)
+
     def _imply(self, stack: list[int], *names: str) -> None:
         """Close an open element of these names, unless a container stands in between."""
-        for k in range(len(stack) - 1, 0, -1):
-            tag = self.tag[stack[k]]
-            if tag in names:
-                self.events.append((stack[-1], None))
-                del stack[k:]
-                return
-            if tag in _SCOPE:
-                return
+        k = max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+        if k and (not self.scopes or self.scopes[-1] <= k):
+            self.events.append((stack[-1], None))
+            self._cut(stack, k)
 
     def _close(self, stack: list[int], name: str) -> None:
         if name in BLOCK:
             self.events.append((stack[-1], None))
-        for k in range(len(stack) - 1, 0, -1):
-            tag = self.tag[stack[k]]
-            if tag == name:
-                del stack[k:]
-                return
-            if tag in _SCOPE and name not in _SCOPE:
-                return
+        if (open_ := self.places.get(name)) and (name in _SCOPE or not self.scopes or self.scopes[-1] <= open_[-1]):
+            self._cut(stack, open_[-1])
 
     def ruled_out(self) -> list[bool]:
         """Whether an element's class or id rules it out, given the text it holds; spares page-wide forms.
@@ -186,6 +197,9 @@ class _Page:
                     holds[i].add(self.tag[i])
                 holds[up] |= holds[i]
         prose = [k - j for k, j in zip(size, links)]
+        for i in range(1, n):  # a word of a sentence, whatever it does when clicked
+            if self.tag[i] == "button" and self.tag[self.up[i]] in ("p", "b", "i", "em", "strong", "span") and size[self.up[i]] >= 20:
+                self.by_tag[i] = False
         for i in range(1, n):
             if self.tag[i] == "form" and self.by_tag[i] and 2 * prose[i] >= prose[0] and (prose[i] >= 140 or holds[i] & {"p", "h1", "article", "main"}):
                 self.by_tag[i] = False
@@ -214,6 +228,10 @@ class _Page:
             up = self.up[i]
             gone[i] = gone[up] or self.by_tag[i] or names[i]
             link[i] = link[up] or self.tag[i] == "a"
+        block = list(range(n))
+        for i in range(1, n):
+            if self.tag[i] not in BLOCK:
+                block[i] = block[self.up[i]]
         out, parts, owner, linked = [], [], 0, 0
         for at, text in self.events:
             if text is None:
@@ -224,9 +242,7 @@ class _Page:
                     parts, linked = [], 0
             elif not gone[at]:
                 if not parts:
-                    owner = at
-                    while self.tag[owner] not in BLOCK and owner:
-                        owner = self.up[owner]
+                    owner = block[at]
                 parts.append(text)
                 if link[at]:
                     linked += len(text)
@@ -268,7 +284,7 @@ def _best(page: _Page, blocks: list[tuple[int, str, int]]) -> set[int]:
             if i != top and page.up[i] == page.up[top] and length[i]:
                 density = links[i] / length[i]
                 same = page.tag[i] == page.tag[top] or page.tag[top] not in ("article", "main")
-                if same and final[i] >= max(10.0, 0.2 * best) and density < 0.3:
+                if same and final[i] >= max(5.0, 0.2 * best) and density < 0.3:
                     keep.add(i)
                 elif page.tag[top] not in ("article", "main") and page.tag[i] in ("p", "h1", "h2") and density < 0.25 and (length[i] > 80 or page.tag[i] != "p"):
                     keep.add(i)

@@ -7,6 +7,7 @@ import bz2
 import gzip
 import hashlib
 import html as html_lib
+import html.parser as html_parser
 import io
 import lzma
 import math
@@ -603,8 +604,11 @@ _PROSE = "<p>Words of the article, with commas, go on for a while, as prose does
         ("<article><h1>T</h1>" + _PROSE + "<section id='discussion'>" + _PROSE + "</section><p>z</p></article>", "T Words of the article, with commas, go on for a while, as prose does, and then some more of it follows here. Words"),
         ("<div>stray line</div><div class='layout with-sidebar'><div><h1>T</h1>" + _PROSE * 3 + "</div></div>", "T Words"),
         ("<form id='aspnetForm'><div><h1>T</h1>" + _PROSE * 3 + "</div></form>", "T Words"),
+        ("<article>" + _PROSE + '<p>see <a href="/hidden/x">the link</a></p><p title="the hidden gem">a gem</p><p data-hidden="false" data-role="banner" data-class="ad">data</p></article>', "see the link a gem data"),
+        ("<article>" + _PROSE + "<p>where <math><mi>E</mi><mo>=</mo><mi>m</mi></math> holds, press <button>Start</button> to go on</p></article>", "where E=m holds, press Start to go on"),
+        ("<div><div>" + _PROSE * 3 + "</div><div>" + _PROSE + "<p>the end</p></div></div>", "the end"),
     ],
-    ids=range(6),
+    ids=range(9),
 )
 def test_html_names_do_not_cut_the_article(source, least):
     assert least in html.main_text(source)
@@ -615,6 +619,69 @@ def test_html_names_still_rule_out_what_is_none_of_it():
     assert html.main_text("<div class=page><div><h1>T</h1>" + _PROSE * 2 + chrome + "</div></div>") == " ".join(["T", *[_PROSE[3:-4]] * 2])
 
 
+@pytest.mark.parametrize("source", ["<div>" * 30_000 + "</section>" * 30_000, "<header>" * 30_000, "<b>" * 30_000 + "</i>" * 30_000, "<span>" * 30_000 + "<li>" * 30_000, "<b><br>x" * 30_000, "<div>" * 9000 + "<article>" * 9000], ids=range(6))
+def test_html_unbalanced_pages_take_linear_steps(source):
+    began = time.process_time()
+    html.main_text(source)
+    assert time.process_time() - began < 5
+
+
+class Plain(html_parser.HTMLParser):
+    """Text of the best container by the plain rule, for well-formed pages of divs and paragraphs."""
+
+    def __init__(self):
+        super().__init__()
+        self.nodes, self.stack, self.rows = [("#", None)], [0], []
+
+    def handle_starttag(self, tag, attrs):
+        self.nodes.append((tag, self.stack[-1]))
+        self.stack.append(len(self.nodes) - 1)
+        if tag in ("p", "h1"):
+            self.rows.append([self.stack[-1], "", 0])
+
+    def handle_endtag(self, tag):
+        self.stack.pop()
+
+    def handle_data(self, data):
+        if self.rows and self.rows[-1][0] in self.stack:
+            self.rows[-1][1] += data
+            self.rows[-1][2] += len(data) * any(self.nodes[i][0] == "a" for i in self.stack)
+
+    def best(self):
+        points, size, links = {}, {}, {}
+        for node, text, linked in self.rows:
+            p = (1 + min(len(text) / 100, 10) + text.count(",")) * (1 - linked / max(len(text), 1))
+            at, share = self.nodes[node][1], 1.0
+            for level in range(6):
+                points[at] = points.get(at, 3.0 * (self.nodes[at][0] == "div")) + p * share
+                if self.nodes[at][1] is None:
+                    break
+                at, share = self.nodes[at][1], 0.5 if level == 0 else 1 / (3 * (level + 1))
+            at = self.nodes[node][1]
+            while at is not None:
+                size[at], links[at] = size.get(at, 0) + len(text), links.get(at, 0) + linked
+                at = self.nodes[at][1]
+        return max(points, key=lambda i: (points[i] * (1 - links[i] / max(size[i], 1)), -i))
+
+
+def test_html_scoring_on_pages_without_an_article():
+    rng = random.Random(17)
+
+    def words(n):
+        return " ".join(rng.choice(["alpha", "beta", "gamma,", "delta"]) for _ in range(n))
+
+    for _ in range(60):
+        menu = "".join(f"<p><a href='{i}'>{words(3)}</a></p>" for i in range(rng.randrange(1, 9)))
+        text = [words(rng.randrange(30, 90)) for _ in range(rng.randrange(2, 6))]
+        depth = rng.randrange(4)
+        page = f"<div><div>{menu}</div>{'<div>' * depth}<div><h1>Title</h1>{''.join(f'<p>{t}</p>' for t in text)}</div>{'</div>' * depth}<div>{menu}</div></div>"
+        plain = Plain()
+        plain.feed(page)
+        best = plain.best()
+        inside = [t for node, t, _ in plain.rows if plain.nodes[node][1] == best]
+        assert inside == ["Title", *text] and html.main_text(page) == " ".join(inside), page
+
+
 def test_html_edges(spark):
     rows = [(1, "u", None, "x"), (1, "u", None, "x"), (None, None, "<p>t</p>", "y"), (2, "v", "<div>" * 3000 + "deep" + "</div>" * 3000, "z"), (3, "w", "<article>" + "<p>word</p>" * 20_000, "n")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
