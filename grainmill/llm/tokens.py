@@ -2,7 +2,7 @@
 
 The tokenizer drops white space and never forms a token across it, so a text's ids are the ids of
 its white-space separated chunks in order. Each distinct chunk is encoded by the library once and
-its ids are kept in a bounded table. A chunk made of lower-case letters below U+0250 is left as it
+its ids are kept in a bounded table (long ones, as unspaced scripts have, are encoded each time). A chunk made of lower-case letters below U+0250 is left as it
 is by the tokenizer's normaliser and is one pre-token, so it goes straight to the library's BPE
 model; ASCII chunks without an apostrophe split at the letter/digit/punctuation boundaries that the
 pre-tokenizer splits at; every other chunk takes the library's whole pipeline.
@@ -15,8 +15,9 @@ import re
 
 import numpy as np
 
-#: Chunks and words per generation of a Python worker's tables, some 100 MB in all.
-CHUNKS, WORDS = 200_000, 250_000
+#: Chunks and words per generation of a Python worker's tables, and the longest that is kept: with
+#: its ids one takes 400 bytes at most, so all tables stay near 200 MB whatever the texts hold.
+CHUNKS, WORDS, LONGEST = 200_000, 250_000, 64
 
 _PARTS = re.compile(r"[a-z\x80-ɏ]+|[0-9]|[^a-z0-9\x80-ɏ]+")
 _LETTERS = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+")
@@ -41,12 +42,15 @@ def _byte_letters() -> dict[int, str]:
 
 class Kept(dict):
     """Results by key in two generations: a full young one becomes the old one, whose entries are
-    taken over when they are met again. What is met often so stays, at a bounded size."""
+    taken over when they are met again. What is met often so stays, at a bounded size: keys of more
+    than ``LONGEST`` are not kept."""
 
     def __init__(self, make, size: int):
         self.make, self.size, self.old = make, size, {}
 
     def __missing__(self, key):
+        if len(key) > LONGEST:
+            return self.make(key)
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
