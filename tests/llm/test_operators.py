@@ -455,10 +455,23 @@ def test_encoder_equals_the_library(docs):
 def test_kept_results_stay_bounded():
     made = []
     table = tokens.Kept(lambda k: made.append(k) or k, 3)
-    for k in [1, 2, 3, 4, 1, 5, 6, 7, 1]:
+    for k in "123415671":
         table[k]
         table.age()
-    assert len(table) + len(table.old) <= 8 and made.count(1) == 1
+    assert len(table) + len(table.old) <= 8 and made.count("1") == 1
+    for k in ("x" * 64, "y" * 65):
+        assert table[k] == table[k] == k
+    assert made.count("x" * 64) == 1 and made.count("y" * 65) == 2
+
+
+@pytest.mark.parametrize("make", [lambda: tokens.IdEncoder(tokens.default_tokenizer()), lambda: pieces.PieceTransducer(pieces.default_model())], ids=["tokens", "pieces"])
+def test_unspaced_texts_leave_nothing_behind(make):
+    rng, enc = random.Random(3), make()
+    for _ in range(4):
+        text = "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(3000))
+        enc.encode([text.encode()]) if isinstance(enc, tokens.IdEncoder) else enc.encode(text)
+    tables = [enc.table, enc.table.old, enc.words, enc.words.old] if isinstance(enc, tokens.IdEncoder) else [enc.chunks, enc.words]
+    assert not any(len(k) > tokens.LONGEST for t in tables for k in t) and sum(map(len, tables)) < 10
 
 
 def check_packing(rows, t, end, capacity=4096):
@@ -569,6 +582,32 @@ def test_pieces_equal_the_library(spark, sf, docs, cases, none):
     assert pieces.encode_decode(cases).where("round_trip").count() == len(CASES) and pieces.encode_decode(none).count() == 0
 
 
+def test_shortest_path_is_the_least_of_all_paths():
+    t, rng = pieces.PieceTransducer(pieces.default_model()), random.Random(9)
+    for _ in range(60):
+        text = "".join(rng.choice("▁aethinsor漢") for _ in range(rng.randrange(1, 9)))
+        best: list[tuple[float, list[str]]] = []
+
+        def paths(at, last, cost, arcs):
+            if cost == math.inf:
+                return
+            if at == len(text):
+                best.append((cost, arcs))
+            for end in range(at + 1, len(text) + 1):
+                if text[at:end] in t.lexicon.ids:
+                    paths(end, text[at:end], cost + t.weight(last, text[at:end]), [*arcs, text[at:end]])
+            if at < len(text) and text[at] not in t.lexicon.ids:
+                paths(at + 1, text[at], cost + pieces.BYTES, [*arcs, text[at]])
+
+        paths(0, "", 0.0, [])
+        assert t.shortest(text) == min(best) and len(best) == 1
+    out, state = "", 0
+    for c in "a b  c":
+        state, o = t.normaliser.arc(state, c)
+        out += o
+    assert out == t.normaliser.run("a b  c") == "▁a▁b▁▁c"
+
+
 # 10 html
 def test_html_pages(spark, sf):
     for r in html.extract_text(spark.read.parquet(f"{sf}/pages.parquet")).join(spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "html"), "page_id").collect():
