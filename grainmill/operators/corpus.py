@@ -80,17 +80,6 @@ def merged(rows: DataFrame, order: str = "row_ord") -> DataFrame:
     return best.drop("__k").orderBy(F.coalesce("year", F.lit(0)), "corpus_id")
 
 
-def upper_median(c: Column) -> Column:
-    """``sorted[n // 2]``; exact, from the ordered distinct values and their counts."""
-    return ordered_at(c, lambda n: F.floor(n / 2))
-
-
-def ordered_at(c: Column, place) -> Column:
-    """The value at a zero-based place of the sorted values of a group (of bounded size)."""
-    values = F.array_sort(F.collect_list(c))
-    return F.get(values, place(F.size(values)).cast("int"))
-
-
 def rank_value(rows: DataFrame, value: str, by: list[str], place) -> DataFrame:
     """The value at a zero-based place of each group's sorted values, for groups of any size.
 

@@ -93,9 +93,15 @@ def mean_over_seeds(seeds: DataFrame, metrics: list[str]) -> DataFrame:
     return seeds.agg(*[F.round(F.avg(F.col(m).cast("string").try_cast("double") if dict(seeds.dtypes)[m] == "string" else F.col(m).cast("int" if dict(seeds.dtypes)[m] == "boolean" else "double")), 4).alias(m) for m in metrics])
 
 
-def failing_ids(scored: DataFrame, order: str = "id") -> DataFrame:
-    """Ids of the rows that fail, in order, as one array."""
-    return scored.agg(F.transform(F.array_sort(F.collect_list(F.when(~F.col("checks_passed"), F.struct(F.col(order).alias("o"), F.col("id").alias("id"))))), lambda x: x["id"]).alias("failing"))
+def failing_rows(scored: DataFrame, order: str = "id") -> DataFrame:
+    """Ids of the rows that fail, a row each, in order."""
+    return scored.where(~F.col("checks_passed")).select(*dict.fromkeys(["id", order])).orderBy(order)
+
+
+def failing_ids(scored: DataFrame, order: str = "id", most: int = 10_000) -> DataFrame:
+    """The failing ids of a report as one array; more than ``most`` are an error (see ``failing_rows``)."""
+    rows = failing_rows(scored, order).limit(most + 1).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("id").alias("id")))).alias("r"))
+    return rows.select(F.when(F.size("r") > most, F.raise_error(F.lit(f"more than {most} failing rows"))).otherwise(F.transform("r", lambda x: x["id"])).alias("failing"))
 
 
 def missing_ids(evals: DataFrame, predictions: DataFrame) -> DataFrame:

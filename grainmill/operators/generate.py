@@ -8,50 +8,95 @@ Pools of phrases are configuration: the defaults are this library's own.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainmill.functions import text as T
 from grainmill.operators import corpus as C
-from grainmill.operators.windows import chunk_excerpt, seeded_pick
+from grainmill.operators.windows import excerpt_parts, packed_excerpt, seeded_pick
 
 CLAIM = "array<struct<claim:string,verdict:string,sourceQuotes:array<string>,rationale:array<string>,hasNumericClaim:boolean>>"
 VISIBLE, EXCERPT = 200, 1800
 N = T.NUMBER
+#: kinds that a balanced sample takes first
+PRIORITY = ("sentence", "semantic", "supp", "chunk", "pol", "over")
+ASSOCIATION = r"association (?:was observed )?between (.+?) and (.+?)[.,]"
+POLARITY = r"significant association|statistically significant|was associated with|significantly (?:increased|decreased|reduced)"
+PARTIAL = r"\d+\s+of\s+\d+|partial response|\d+\s+participants|showed (?:a )?response"
+METHODS_VERB = "^We (?:surveyed|conducted|enrolled|randomized)"
 
 
 @dataclass(frozen=True)
 class Pools:
-    """Phrases and templates of a generator run."""
+    """Phrases and templates of a generator run; ``%s`` stands for what a pattern's group holds."""
 
-    openers: tuple[str, ...] = ("", "The study notes that ", "It was reported that ", "According to the authors, ")
+    openers: tuple[str, ...] = ("", "The study notes that ", "It was reported that ", "According to the authors, ", "Earlier work shows that ")
     absent: tuple[str, ...] = (
         "screening uptake doubled in every rural district within one year",
         "the device lowered annual maintenance spending across all sites",
         "monthly rainfall totals predicted admission numbers precisely",
         "complete remission followed the procedure in all enrolled volunteers",
+        "solar output explained most of the variance in hospital staffing",
+        "the vaccine prevented every known variant for a decade",
     )
     overclaims: tuple[str, ...] = ("the treatment works for every patient without exception", "the approach removes all risk permanently", "no adverse effect occurs in any population", "the result settles the question for all settings")
-    scope: tuple[tuple[str, str], ...] = (("costs were the same in all centres", "Costs are not described in the excerpt"), ("children and adults benefited alike", "Results for children are not described in the excerpt"), ("every subgroup gained equally", "Subgroups are not described in the excerpt"))
-    #: (pattern with one number group, template with %s)
-    numeric: tuple[tuple[str, str], ...] = (
-        (rf"(?i)sensitivity was ({N})\s*%", "The test was %s%% sensitive"),
-        (rf"(?i)mean of ({N}) months", "Follow-up lasted %s months on average"),
-        (rf"(?i)AUC of ({N})", "The AUC came to %s"),
-        (r"(?i)enrolled ([\d,]+) (?:participants|patients|adults)", "The cohort had %s members"),
-        (rf"(?i)efficacy\D{{0,40}}?({N})\s*%", "Efficacy stood at %s%%"),
-        (rf"(?i)({N})\s*% of (?:patients|participants)", "About %s%% of the patients had the outcome"),
-        (rf"(?i)({N})\s*% \(95% CI", "The primary analysis gave %s%%"),
-        (rf"(?i)increased by ({N})\s*%", "The measure went up by %s%%"),
+    #: (sentence that ends the excerpt, what the passage claims, why the excerpt does not say so)
+    scope: tuple[tuple[str, str, str], ...] = (
+        ("Costs were not looked at here.", "costs were the same in all centres", "Costs are not described in the excerpt"),
+        ("Children were not enrolled.", "children and adults benefited alike", "Results for children are not described in the excerpt"),
+        ("No subgroup was planned.", "every subgroup gained equally", "Subgroups are not described in the excerpt"),
     )
+    #: (pattern with one number group, templates of which one is drawn)
+    numeric: tuple[tuple[str, tuple[str, ...]], ...] = (
+        (rf"sensitivity was ({N})\s*%", ("The test was %s%% sensitive", "Sensitivity of the test came to %s%%")),
+        (rf"followed for (?:a )?mean of ({N}) months", ("Follow-up lasted %s months on average",)),
+        (rf"(?:reached|achieved) an AUC of ({N})", ("The AUC came to %s",)),
+        (rf"({N})\s*% of (?:patients|participants)", ("About %s%% of the patients had the outcome",)),
+        (r"enrolled (\d[\d,]*) (?:adults|patients|participants)", ("The cohort had %s members",)),
+        (rf"efficacy (?:was |of )?({N})\s*%", ("Efficacy stood at %s%%",)),
+        (rf"efficacy against .+ was ({N})\s*%", ("Against the main endpoint efficacy came to %s%%",)),
+        (rf"({N})\s*% \(95% CI", ("The primary analysis gave %s%%",)),
+        (rf"increased by ({N})\s*%", ("The measure went up by %s%% from its start",)),
+    )
+    #: (pattern, what takes the place of the matched part of the sentence)
+    rewrites: tuple[tuple[str, str], ...] = (
+        (r"was associated with improved (.+?)[.,]", "went along with better %s"),
+        (r"decreased significantly in the (.+?) (?:arm|group)", "fell clearly in the %s group"),
+        (r"did not differ between (.+?) groups", "were alike in all groups"),
+        (r"protocol compliance was high", "Compliance with the protocol stood high"),
+        (r"were significantly elevated", "were clearly elevated"),
+    )
+    #: (pattern, the whole paraphrase of a sentence without numbers)
     semantic: tuple[tuple[str, str], ...] = (
-        (r"(?i)compliance was high|adherence to (?:the )?protocol was high", "Protocol compliance was high"),
-        (r"(?i)similar between groups|did not differ between", "Outcomes were similar between groups"),
-        (r"(?i)were significantly elevated", "The biomarkers were significantly elevated"),
-        (r"(?i)was associated with improved", "Improved outcomes were associated with treatment"),
+        (r"protocol compliance was high", "High compliance with the protocol was seen"),
+        (r"compliance was high", "High compliance was seen"),
+        (r"adherence to (?:the )?protocol was high", "High adherence to the protocol was seen"),
+        (r"were similar between groups", "The groups were similar, no difference between groups"),
+        (r"did not differ between", "Rates did not differ, alike in treated and control groups"),
+        (r"were significantly elevated", "Markers were significantly elevated"),
+        (r"was associated with improved", "Improved recovery was associated with treatment"),
     )
+    #: claims of a sample size and of a power
+    multi: tuple[str, str] = ("The sample had n=%s", "The power was %s%%")
+    supported: str = "Numbers and facts agree; the passage paraphrases the source"
+    meant: str = "The meaning agrees; the passage paraphrases the source"
+
+
+class Build(NamedTuple):
+    """A row kind's parts: guard, passage, excerpt, claims, overall verdict, excerpt mode."""
+
+    kind: str
+    when: Column
+    passage: Column
+    excerpt: Column
+    claims: Column
+    overall: str
+    mode: str = "full"
 
 
 @dataclass(frozen=True)
@@ -65,14 +110,17 @@ class Generator:
     def _draw(self, purpose: str) -> Column:
         return F.concat(F.lit(f"{self.seed}|{purpose}|"), F.col("corpus_id"))
 
-    def _pick(self, sents: Column, purpose: str) -> Column:
-        return seeded_pick(sents, self._draw(purpose))
+    def _order(self, purpose: str, text: Column) -> Column:
+        return F.md5(F.concat(self._draw(purpose), F.lit("|"), text))
+
+    def _pick(self, options: Column, purpose: str) -> Column:
+        return seeded_pick(options, self._draw(purpose))
 
     # sentence pickers
     def claim_sentence(self) -> Column:
         like = lambda s, p: F.when(F.regexp_like(s, F.lit(p)), 1).otherwise(0)
         score = lambda s: like(s, r"\d") * 2 + like(s, T.RESULTS) * 2 - like(s, T.METHODS_HEAD)
-        ranked = F.array_sort(F.transform(F.col("sents"), lambda s: F.struct((-score(s)).alias("k"), F.xxhash64(self._draw("claim"), s).alias("h"), s.alias("s"))))
+        ranked = F.array_sort(F.transform(F.col("sents"), lambda s: F.struct((-score(s)).alias("k"), self._order("claim", s).alias("h"), s.alias("s"))))
         fallback = F.when(F.length("abstract") >= 40, F.trim(F.left("abstract", F.lit(200))))
         return F.coalesce(F.get(ranked, 0)["s"], fallback)
 
@@ -87,49 +135,66 @@ class Generator:
         return self._pick(F.filter("sents", lambda s: ~F.regexp_like(s, F.lit(r"\d")) & F.regexp_like(s, F.lit(T.RESULTS))), "semantic")
 
     def polarity_sentence(self) -> Column:
-        return self._pick(F.filter("sents", lambda s: F.regexp_like(s, F.lit(r"(?i)significant association|statistically significant|was associated with|significantly (?:increased|decreased|reduced)"))), "polarity")
+        return self._pick(F.filter("sents", lambda s: F.regexp_like(s, F.lit(f"(?i){POLARITY}"))), "polarity")
 
     def partial_response(self) -> Column:
-        return self._pick(F.filter("sents", lambda s: F.regexp_like(s, F.lit(r"(?i)\d+\s+of\s+\d+|partial response|\d+\s+participants|showed (?:a )?response"))), "partial")
+        return self._pick(F.filter("sents", lambda s: F.regexp_like(s, F.lit(f"(?i){PARTIAL}"))), "partial")
 
     def results_sentence(self) -> Column:
         return self._pick(F.filter("sents", lambda s: F.regexp_like(s, F.lit(T.RESULTS)) & ~F.regexp_like(s, F.lit(T.METHODS_HEAD))), "results")
 
     def two_numeric(self) -> Column:
         have = F.filter("sents", lambda s: F.regexp_like(s, F.lit(r"\d")))
-        order = F.array_sort(F.transform(have, lambda s: F.struct(F.xxhash64(self._draw("two"), s).alias("h"), s.alias("s"))))
+        order = F.array_sort(F.transform(have, lambda s: F.struct(self._order("two", s).alias("h"), s.alias("s"))))
         return F.when(F.size(have) >= 2, F.transform(F.slice(order, 1, 2), lambda x: x["s"]))
 
     def methods_slice(self) -> Column:
-        head = F.filter("sents", lambda s: F.regexp_like(s, F.lit(T.METHODS_HEAD)) | F.regexp_like(s, F.lit("(?i)^We (?:surveyed|conducted|enrolled|randomized)")))
+        head = F.filter("sents", lambda s: F.regexp_like(s, F.lit(T.METHODS_HEAD)) | F.regexp_like(s, F.lit(f"(?i){METHODS_VERB}")))
         joined = F.array_join(F.slice(head, 1, 3), " ")
         return F.when(F.length(joined) >= 80, joined)
 
-    def absent_claim(self) -> Column:
-        order = F.array_sort(F.transform(F.array(*[F.lit(c) for c in self.pools.absent]), lambda c: F.struct(F.xxhash64(self._draw("absent"), c).alias("h"), c.alias("c"))))
+    def thin_slice(self) -> Column:
+        """The methods, else the first two sentences."""
+        two = F.array_join(F.slice("sents", 1, 2), " ")
+        return F.coalesce(self.methods_slice(), F.when((F.size("sents") >= 2) & (F.length(two) >= 80), two))
+
+    def absent_claim(self, text: Column | str = "abstract", purpose: str = "absent") -> Column:
+        order = F.array_sort(F.transform(F.array(*[F.lit(c) for c in self.pools.absent]), lambda c: F.struct(self._order(purpose, c).alias("h"), c.alias("c"))))
         claims = F.transform(order, lambda x: x["c"])
-        return F.coalesce(F.get(F.filter(claims, lambda c: T.claim_absent(c, "abstract")), 0), F.get(claims, 0))
+        return F.coalesce(F.get(F.filter(claims, lambda c: T.claim_absent(c, text)), 0), F.get(claims, 0))
 
     # text forms
     def paraphrase(self, s: Column) -> Column:
-        """A numeric template that fits, else a semantic one; null if none does."""
-        number = [F.when(F.regexp_like(s, F.lit(p)), F.format_string(t, F.replace(F.regexp_extract(s, p, 1), F.lit(","), F.lit("")))) for p, t in self.pools.numeric]
-        return F.when(F.length(F.trim(s)) >= 30, F.coalesce(*number, self.semantic_paraphrase(s)))
+        """The template of the first number pattern that fits, else the sentence with a part said
+        another way; null if nothing fits or the result is too short, too long or no different."""
+        number = []
+        for p, templates in self.pools.numeric:
+            n = F.replace(F.regexp_extract(s, f"(?i){p}", 1), F.lit(","), F.lit(""))
+            number.append(F.when(F.regexp_like(s, F.lit(f"(?i){p}")), self._pick(F.array(*[F.format_string(t, n) for t in templates]), "template")))
+        said = []
+        for p, new in self.pools.rewrites:
+            whole, last = f"(?i)^((?s:.*?)){p}((?s:.*))$", re.compile(p).groups + 2
+            group = F.regexp_extract(s, whole, 2) if last == 3 else F.lit("")
+            out = T.normalize_ws(F.concat(F.regexp_extract(s, whole, 1), F.format_string(new, group) if "%s" in new else F.lit(new), F.regexp_extract(s, whole, last)))
+            said.append(F.when(F.regexp_like(s, F.lit(f"(?i){p}")) & F.length(out).between(20, VISIBLE) & (F.lower(out) != F.lower(s)), out))
+        return F.when(F.length(F.trim(s)) >= 30, F.coalesce(*number, *said))
 
     def semantic_paraphrase(self, s: Column) -> Column:
-        return F.coalesce(*[F.when(F.regexp_like(s, F.lit(p)), t) for p, t in self.pools.semantic])
+        """A sentence without numbers said another way, by its templates first."""
+        known = [F.when(F.regexp_like(s, F.lit(f"(?i){p}")), t) for p, t in self.pools.semantic]
+        return F.when(~F.regexp_like(s, F.lit(r"\d")), F.coalesce(*known, self.paraphrase(s)))
 
     def cite(self) -> Column:
         return C.citation(F.col("authors"), F.col("year"))
 
-    def direct(self, core: Column) -> Column:
-        return F.concat(F.regexp_replace(F.trim(core), "[.!?]$", ""), F.lit(" "), self.cite(), F.lit("."))
+    def direct(self, core: Column, cite: Column | None = None) -> Column:
+        return F.concat(F.regexp_replace(F.trim(core), "[.!?]$", ""), F.lit(" "), self.cite() if cite is None else cite, F.lit("."))
 
-    def neutral(self, core: Column, purpose: str) -> Column:
-        opener = seeded_pick(F.array(*[F.lit(o) for o in self.pools.openers]), self._draw(f"opener-{purpose}"))
+    def neutral(self, core: Column, purpose: str, cite: Column | None = None) -> Column:
+        opener = self._pick(F.array(*[F.lit(o) for o in self.pools.openers]), f"opener-{purpose}")
         body = F.regexp_replace(F.trim(core), "[.!?]$", "")
         low = F.when((opener != "") & ~F.regexp_like(body, F.lit(T.METHODS_HEAD)), F.concat(F.lower(F.left(body, F.lit(1))), F.substring(body, 2, 1_000_000))).otherwise(body)
-        return F.concat(opener, low, F.lit(" "), self.cite(), F.lit("."))
+        return F.concat(opener, low, F.lit(" "), self.cite() if cite is None else cite, F.lit("."))
 
     # rows
     @staticmethod
@@ -141,56 +206,97 @@ class Generator:
         reason = F.array().cast("array<string>") if why is None else F.array(why if isinstance(why, Column) else F.lit(why))
         return F.struct(F.left(text, F.lit(VISIBLE)).alias("claim"), F.lit(verdict).alias("verdict"), q.alias("sourceQuotes"), reason.alias("rationale"), F.coalesce(numeric if numeric is not None else F.regexp_like(text, F.lit(r"\d")), F.lit(False)).alias("hasNumericClaim"))
 
-    def row(self, kind: str, when: Column, passage: Column, excerpt: Column, claims: Column, overall: str, mode: str = "full") -> Column:
+    def row(self, i: int, kind: str, overall: str, mode: str) -> Column:
+        """Row ``i`` if its guard holds and every supported claim's quotes are in its excerpt; else null."""
+        excerpt, claims = F.col(f"e_{i}"), F.col(f"c_{i}")
         meta = F.struct(F.lit("abstract").alias("label"), F.coalesce("article_url", "doi").alias("url"), F.lit(mode).alias("excerpt_mode"))
-        return F.when(F.coalesce(when, F.lit(False)), F.struct(F.lit(kind).alias("kind"), passage.alias("passage"), excerpt.alias("source_excerpt"), meta.alias("meta"), claims.cast(CLAIM).alias("claims"), F.lit(overall).alias("overallVerdict")))
-
-    def builders(self) -> list[Column]:
-        """One Column per row kind, in the order in which numbers are given."""
-        a, arr = F.col("abstract"), F.array
-        s, h, n = F.col("s_claim"), F.col("s_hedged"), F.col("s_numeric")
-        m, r, two, sem, pol = F.col("s_methods"), F.col("s_results"), F.col("s_two"), F.col("s_semantic"), F.col("s_polarity")
-        inside = lambda x: F.contains(a, x)
-        cap = lambda x: chunk_excerpt(x, a, EXCERPT)
-        para, why = self.paraphrase(s), "Numbers and facts agree; the passage paraphrases the source"
-        fits = inside(s) & T.aligned(para, s)
-        out = [self.row("sentence", fits, self.direct(para), s, arr(self.claim(para, "supported", arr(s), why)), "support", "sentence")]
-        out.append(self.row("supp", fits & (T.normalize_ws(para) != T.normalize_ws(s)), self.neutral(para, "supp"), cap(para), arr(self.claim(para, "supported", arr(s), why)), "support"))
-        chunk = chunk_excerpt(para, a, EXCERPT)
+        valid = F.forall(claims, lambda c: (c["verdict"] != "supported") | F.forall(c["sourceQuotes"], lambda q: T.quote_in_excerpt_simple(q, excerpt)))
+        return F.when(F.coalesce(F.col(f"g_{i}") & valid, F.lit(False)), F.struct(F.lit(kind).alias("kind"), F.col(f"t_{i}").alias("passage"), excerpt.alias("source_excerpt"), meta.alias("meta"), claims.alias("claims"), F.lit(overall).alias("overallVerdict")))
+
+    def _said(self, core: Column) -> Column:
+        return self.direct(core, F.col("cite"))
+
+    def _told(self, core: Column, purpose: str) -> Column:
+        return self.neutral(core, purpose, F.col("cite"))
+
+    def _cap(self, passage: Column) -> Column:
+        return packed_excerpt(passage, F.col("clean"), F.col("parts"), EXCERPT)
+
+    def _supported(self, s: Column, para: Column, tag: str, more: Column | None = None) -> list[Build]:
+        """Paraphrased rows of a sentence: whole excerpt, the sentence itself, packed excerpt."""
+        a, why, say, tell = F.col("abstract"), self.pools.supported, self._said, self._told
+        fits = F.contains(a, s) & T.aligned(para, s)
+        if more is not None:
+            fits = fits & more
+        claims = F.array(self.claim(para, "supported", F.array(s), why))
+        chunk = self._cap(para)
         whole = F.when(T.quote_in_excerpt_simple(s, chunk), chunk).when(F.length(s) + F.length(chunk) + 2 <= EXCERPT, F.concat(s, F.lit("\n\n"), chunk))
-        out.append(self.row("chunk", fits & whole.isNotNull(), self.neutral(para, "chunk"), whole, arr(self.claim(para, "supported", arr(s), why)), "support", "chunked"))
-        out.append(self.row("sup", inside(s), self.neutral(s, "sup"), cap(s), arr(self.claim(s, "supported", arr(s))), "support"))
-        wrong = T.flip_number(n, VISIBLE - 1)
-        out.append(self.row("con", inside(n) & wrong.isNotNull() & ~inside(wrong) & (F.left(wrong, F.lit(VISIBLE)) != F.left(n, F.lit(VISIBLE))), self.neutral(wrong, "con"), cap(wrong), arr(self.claim(wrong, "contradicted", arr(n), "The number differs from the source", F.lit(True))), "weak"))
-        bold = T.strip_hedges(h)
-        out.append(self.row("weak", inside(h) & (F.length(bold) >= 30) & (F.left(bold, F.lit(VISIBLE)) != F.left(h, F.lit(VISIBLE))) & ~T.numbers_aligned(bold, h), self.neutral(bold, "weak"), cap(bold), arr(self.claim(bold, "weak", arr(h), "The source hedges what the passage asserts")), "weak"))
-        nis = self.absent_claim()
-        out.append(self.row("nis", F.lit(True), self.neutral(nis, "nis"), cap(nis), arr(self.claim(nis, "not_in_source", None, "The excerpt does not speak of this")), "unrelated"))
-        thin = F.coalesce(m, F.when(F.length(F.array_join(F.slice("sents", 1, 2), " ")) >= 80, F.array_join(F.slice("sents", 1, 2), " ")))
-        out.append(self.row("nisthin", thin.isNotNull() & T.claim_absent(nis, thin), self.neutral(nis, "nisthin"), thin, arr(self.claim(nis, "not_in_source", None, "The excerpt does not speak of this")), "unrelated", "thin"))
-        lucky = F.pmod(F.xxhash64(self._draw("coin")), F.lit(10_000)) < int(self.coin * 10_000)
-        out.append(self.row("ins", lucky & m.isNotNull() & r.isNotNull() & ~F.contains(m, r), self.neutral(r, "ins"), m, arr(self.claim(r, "insufficient_evidence", None, "The excerpt has methods only")), "insufficient_evidence", "thin"))
-        spara = self.semantic_paraphrase(sem)
-        out.append(self.row("semantic", inside(sem) & spara.isNotNull() & T.meaning_aligned(spara, sem), self.direct(spara), sem, arr(self.claim(spara, "supported", arr(sem), "The meaning agrees; the passage paraphrases the source")), "support", "sentence"))
-        x, y = F.regexp_extract(pol, r"(?i)between (.+?) and ", 1), F.regexp_extract(pol, r"(?i)between .+? and ([^,.;]+)", 1)
+        return [
+            Build("supp", fits & (T.normalize_ws(para) != T.normalize_ws(s)), tell(para, f"supp{tag}"), chunk, claims, "support"),
+            Build("sentence", fits, say(para), s, claims, "support", "sentence"),
+            Build("chunk", fits & whole.isNotNull(), tell(para, f"chunk{tag}"), whole, claims, "support", "chunked"),
+        ]
+
+    def builders(self) -> list[Build]:
+        """The rows that a paper may have, in the order in which numbers are given, over ``picked`` columns."""
+        a, arr, none, say, tell, cap = F.col("abstract"), F.array, F.lit(True), self._said, self._told, self._cap
+        s, h, n, m, thin, r = (F.col(f"s_{k}") for k in ("claim", "hedged", "numeric", "methods", "thin", "results"))
+        two, sem, pol, part = (F.col(f"s_{k}") for k in ("two", "semantic", "polarity", "partial"))
+        inside = lambda x: F.contains(a, x)
+        out = [Build("sup", inside(s), tell(s, "sup"), cap(s), arr(self.claim(s, "supported", arr(s))), "support")]
+        out += self._supported(s, F.col("p_claim"), "")
+        wrong, bold, nis, away = (F.col(f"x_{k}") for k in ("wrong", "bold", "nis", "away"))
+        out.append(Build("con", inside(n) & wrong.isNotNull() & ~inside(wrong) & (F.left(wrong, F.lit(VISIBLE)) != F.left(n, F.lit(VISIBLE))), tell(wrong, "con"), cap(wrong), arr(self.claim(wrong, "contradicted", arr(n), "The number differs from the source", none)), "weak"))
+        out += self._supported(n, F.col("p_numeric"), "-number", ~n.eqNullSafe(s))
+        out.append(Build("weak", inside(h) & (F.length(bold) >= 30) & (F.left(bold, F.lit(VISIBLE)) != F.left(h, F.lit(VISIBLE))) & ~T.numbers_aligned(bold, h), tell(bold, "weak"), cap(bold), arr(self.claim(bold, "weak", arr(h), "The source hedges what the passage asserts")), "weak"))
+        out.append(Build("nis", none, tell(nis, "nis"), cap(tell(nis, "nis")), arr(self.claim(nis, "not_in_source", None, "The excerpt does not speak of this")), "unrelated"))
+        out.append(Build("nisthin", thin.isNotNull() & T.claim_absent(away, thin), say(away), thin, arr(self.claim(away, "not_in_source", None, "The excerpt does not speak of this")), "unrelated", "sentence"))
+        said = F.col("p_semantic")
+        out.append(Build("semantic", inside(sem) & T.meaning_aligned(said, sem), say(said), sem, arr(self.claim(said, "supported", arr(sem), self.pools.meant, F.lit(False))), "support", "sentence"))
+        x, y = (F.trim(F.regexp_extract(pol, f"(?i){ASSOCIATION}", i)) for i in (1, 2))
         denied = F.when((x != "") & (y != ""), F.concat(F.lit("There was no association between "), x, F.lit(" and "), y)).otherwise("There was no association between the exposure and the outcome")
-        out.append(self.row("pol", F.regexp_like(pol, F.lit("(?i)associat(?:ion|ed)")), self.direct(denied), pol, arr(self.claim(denied, "contradicted", arr(pol), "The source reports an association")), "weak", "sentence"))
-        over = seeded_pick(arr(*[F.lit(o) for o in self.pools.overclaims]), self._draw("over"))
-        out.append(self.row("over", r.isNotNull(), self.direct(over), cap(over), arr(self.claim(over, "contradicted", arr(r), "The source reports a limited effect")), "weak"))
-        c0, c1 = T.short_claim(F.get(two, 0)), T.short_claim(F.get(two, 1))
-        pair = F.left(F.concat(F.get(two, 0), F.lit(" "), F.get(two, 1)), F.lit(EXCERPT))
-        out.append(self.row("multi", two.isNotNull(), self.direct(F.concat(c0, F.lit(" and "), c1)), pair, arr(self.claim(c0, "supported", arr(F.get(two, 0)), why), self.claim(c1, "supported", arr(F.get(two, 1)), why)), "support"))
-        scope = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(w).alias("w")) for p, w in self.pools.scope])
-        limit = F.get(scope, F.pmod(F.xxhash64(self._draw("scope")), F.lit(len(self.pools.scope))).cast("int"))
-        out.append(self.row("multip", r.isNotNull(), self.direct(F.concat(T.short_claim(r), F.lit(" and "), limit["p"])), cap(r), arr(self.claim(T.short_claim(r), "supported", arr(r), why), self.claim(limit["p"], "not_in_source", None, limit["w"])), "weak"))
+        out.append(Build("pol", inside(pol) & F.regexp_like(pol, F.lit("(?i)associat(?:ion|ed)")), say(denied), pol, arr(self.claim(denied, "contradicted", arr(pol), "The source reports an association")), "weak", "sentence"))
+        over = self._pick(arr(*[F.lit(o) for o in self.pools.overclaims]), "over")
+        out.append(Build("over", inside(part), say(over), part, arr(self.claim(over, "contradicted", arr(part), "The source reports a limited effect")), "weak", "sentence"))
+        first, second = F.get(two, 0), F.get(two, 1)
+        size, power = F.get(T.numbers(first), 0), F.get(T.numbers(second), 0)
+        c0 = F.format_string(self.pools.multi[0], size)
+        c1 = F.when(F.contains(second, F.lit("%")), F.format_string(self.pools.multi[1], power)).otherwise(F.left(T.short_claim(second, 60), F.lit(60)))
+        quote = lambda q: arr(F.when(F.length(q) <= 200, q).otherwise(T.short_claim(q, 60)))
+        pair = F.left(F.concat(first, F.lit(" "), second), F.lit(EXCERPT))
+        out.append(Build("multi", two.isNotNull(), say(F.concat(c0, F.lit(" with "), c1)), pair, arr(self.claim(c0, "supported", quote(first), None, none), self.claim(c1, "supported", quote(second), None, none)), "support", "sentence"))
+        base, limit = F.col("s_partly"), self._pick(arr(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(("ends", "says", "why"), x)]) for x in self.pools.scope]), "scope")
+        told = F.coalesce(F.col("p_partly"), T.short_claim(base, 90))
+        out.append(Build("multip", inside(base), say(F.concat(F.regexp_replace(told, r"\.+$", ""), F.lit(", and "), limit["says"])), F.concat(base, F.lit(" "), limit["ends"]), arr(self.claim(told, "supported", arr(base), self.pools.meant), self.claim(limit["says"], "not_in_source", None, limit["why"])), "weak", "sentence"))
+        lucky = self._share("coin") < int(self.coin * 10_000)
+        out.append(Build("ins", lucky & m.isNotNull() & r.isNotNull() & ~F.contains(m, r), tell(r, "ins"), m, arr(self.claim(r, "insufficient_evidence", None, "The excerpt has methods only")), "insufficient_evidence", "sentence"))
         return out
 
-    def rows(self, papers: DataFrame, least: int = 120) -> DataFrame:
-        """All rows of all papers whose abstract is long enough, numbered within the paper."""
+    def _share(self, purpose: str) -> Column:
+        """A seeded number from 0 to 9999."""
+        return F.pmod(F.conv(F.left(F.md5(self._draw(purpose)), F.lit(8)), 16, 10).cast("long"), F.lit(10_000))
+
+    def picked(self, papers: DataFrame, least: int = 120) -> DataFrame:
+        """Papers whose abstract is long enough, with sentences, picks (``s_``) and paraphrases (``p_``)."""
         p = papers.where(F.length("abstract") >= least).withColumn("sents", T.sentences("abstract", 40))
-        picks = {"claim": self.claim_sentence(), "hedged": self.hedged(), "numeric": self.numeric(), "methods": self.methods_slice(), "results": self.results_sentence(), "two": self.two_numeric(), "semantic": self.semantic_sentence(), "polarity": self.polarity_sentence()}
-        p = p.withColumns({f"s_{k}": v for k, v in picks.items()})
-        made = p.select("corpus_id", F.posexplode(F.array_compact(F.array(*self.builders()))).alias("idx", "r"))
+        picks = {
+            "claim": self.claim_sentence(), "hedged": self.hedged(), "numeric": self.numeric(), "methods": self.methods_slice(), "thin": self.thin_slice(), "results": self.results_sentence(),
+            "two": self.two_numeric(), "semantic": self.semantic_sentence(), "polarity": self.polarity_sentence(), "partial": self.partial_response(),
+        }
+        p = p.withColumns({f"s_{k}": v for k, v in picks.items()} | {"cite": self.cite(), "clean": T.normalize_ws("abstract")})
+        p = p.withColumns({"s_partly": F.coalesce("s_results", "s_claim"), "parts": excerpt_parts(F.col("clean"))})
+        said = {"p_claim": self.paraphrase(F.col("s_claim")), "p_numeric": self.paraphrase(F.col("s_numeric")), "p_semantic": self.semantic_paraphrase(F.col("s_semantic")), "p_partly": self.semantic_paraphrase(F.col("s_partly"))}
+        return p.withColumns(said | {"x_wrong": T.flip_number("s_numeric", VISIBLE - 1), "x_bold": T.strip_hedges("s_hedged"), "x_nis": self.absent_claim(), "x_away": self.absent_claim("s_thin", "absent-thin")})
+
+    def rows(self, papers: DataFrame, least: int = 120, kinds: Sequence[str] | None = None) -> DataFrame:
+        """All rows of all papers whose abstract is long enough, numbered within the paper.
+
+        ``kinds`` builds some kinds only, and numbers those.
+        """
+        p, built = self.picked(papers, least), [b for b in self.builders() if kinds is None or b.kind in kinds]
+        # guards, texts and excerpts are columns of their own: each is used more than once
+        p = p.withColumns({f"{c}_{i}": v for i, b in enumerate(built) for c, v in (("g", F.coalesce(b.when, F.lit(False))), ("t", b.passage), ("e", b.excerpt), ("c", b.claims.cast(CLAIM)))})
+        made = p.select("corpus_id", F.posexplode(F.array_compact(F.array(*[self.row(i, b.kind, b.overall, b.mode) for i, b in enumerate(built)]))).alias("idx", "r"))
         row_id = F.concat(F.lit("l3-"), F.col("corpus_id"), F.lit("-"), F.col("r.kind"), F.lit("-"), F.col("idx").cast("string"))
         return made.select(row_id.alias("id"), F.lit("l3_grounding").alias("task"), F.lit(1).alias("version"), "corpus_id", "idx", "r.*")
 

@@ -6,10 +6,16 @@ whose size it knows to be small and shuffles otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainmill.functions import text as T
+from grainmill.operators.windows import numbered
+from grainmill.session import materialize, ship
 
 _SPACE = "[ \\t\\n\\r\\f\\x0B]+"
 
@@ -46,24 +52,71 @@ def contamination_exact(train: DataFrame, evals: DataFrame) -> DataFrame:
     return out.select("id", "passage_match", "excerpt_match")
 
 
+AUTOMATON = 4 << 20  # characters of the items that one automaton may hold, about 200 MB of memory
+KEY_WORDS = 4
+
+
+def _find_items(shared: Broadcast, doc: str, item: str):
+    """One pass over each text with an automaton of all items."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        texts, ids = shared.value
+        automaton = ahocorasick.Automaton()
+        for i, t in enumerate(texts):
+            automaton.add_word(t, i)
+        automaton.make_automaton()
+        for b in it:
+            rows, hits = [], []
+            for k, t in enumerate(b.column(1).to_pylist()):
+                if t:
+                    for i in {i for _, i in automaton.iter(t)}:
+                        rows += [k] * len(ids[i])
+                        hits += ids[i]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(hits, pa.int64())], [doc, item])
+
+    return run
+
+
 def containment(docs: DataFrame, items: DataFrame, doc: str = "doc_id", item: str = "item_id", text: str = "text") -> DataFrame:
     """``(doc, item)`` where a document's text contains an item's text, as a plain substring.
 
-    A contained item brings all of its words but the outer two along whole. Its longest inner word
-    is the key of an equi-join with the documents' distinct words; candidates are then verified.
-    Items of under three words have no inner word and are tested against every document: that part
-    is a nested loop over the few such items.
+    Items whose texts add up to ``AUTOMATON`` characters at most (the size is checked first) are sent
+    to the tasks as one automaton and found in a single scan: the documents are not shuffled. More
+    items go by keys: a contained item brings all of its words but the outer two along whole, so its
+    longest run of ``KEY_WORDS`` inner words joins with the documents' runs, and candidates are
+    verified. Items too short for a run are found by automata, one scan for as many as one holds.
     """
+    spark = docs.sparkSession
+    ship(spark)
+    some = items.where(F.col(text).isNotNull() & (F.col(text) != "") & F.col(item).isNotNull()).select(F.col(item).cast("long").alias(item), text)
+    rows = docs.where(F.col(text).isNotNull()).select(F.col(doc).cast("long").alias(doc), text)
+
+    def scan(part: DataFrame) -> DataFrame:
+        held: dict[str, list[int]] = {}
+        for r in part.collect():  # its size is checked
+            held.setdefault(r[1], []).append(r[0])
+        shared = spark.sparkContext.broadcast((list(held), list(held.values())))
+        return rows.mapInArrow(_find_items(shared, doc, item), f"{doc} long, {item} long")
+
+    size = F.coalesce(F.sum(F.length(text)), F.lit(0))
+    if some.agg(size).first()[0] <= AUTOMATON:
+        return scan(some)
     words = F.split(F.col(text), _SPACE)
-    inner = F.when(F.size(words) > 2, F.slice(words, 2, F.size(words) - 2))
-    longest = F.element_at(F.array_sort(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))), -1)["w"]
-    keyed = items.where(F.col(text).isNotNull() & (F.col(text) != "")).select(item, F.col(text).alias("__item"), longest.alias("word"))
-    spread = docs.select(doc, F.explode(F.array_distinct(words)).alias("word"))
-    pairs = spread.join(keyed.where("word is not null and word <> ''").select(item, "word"), "word").select(doc, item).distinct()
-    verified = docs.select(doc, F.col(text).alias("__doc")).join(pairs, doc).join(keyed.select(item, "__item"), item).where(F.contains("__doc", "__item"))
-    short = keyed.where("word is null or word = ''")
-    loose = docs.select(doc, F.col(text).alias("__doc")).join(short, F.contains("__doc", "__item"))
-    return verified.select(doc, item).unionByName(loose.select(doc, item))
+    runs = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - KEY_WORDS + 1), lambda i: F.xxhash64(F.array_join(F.slice(w, i, KEY_WORDS), " ")))
+    inner = F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0)))
+    long_, short = F.size(words) >= KEY_WORDS + 2, F.size(words) < KEY_WORDS + 2
+    spread = rows.where(F.size(words) >= KEY_WORDS).select(doc, F.explode(F.array_distinct(runs(words))).alias("key"))
+    # of an item's runs the one that the fewest items have, so that phrases in common are no hot keys
+    keys = some.where(long_).select(item, F.explode(F.array_distinct(runs(inner))).alias("key"))
+    rare = keys.join(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key").groupBy(item).agg(F.min_by("key", F.struct("n", "key")).alias("key"))
+    pairs = spread.join(rare, "key").select(doc, item).distinct()
+    verified = rows.select(doc, F.col(text).alias("__doc")).join(pairs, doc).join(some.select(item, F.col(text).alias("__item")), item).where(F.contains("__doc", "__item")).select(doc, item)
+    blocks = int(some.where(short).agg(size).first()[0]) // (AUTOMATON // 2) + 1
+    for k in range(blocks):
+        verified = verified.unionByName(scan(some.where(short & (F.pmod(F.xxhash64(item), F.lit(blocks)) == k))))
+    return verified
 
 
 def without(base: DataFrame, boost: DataFrame, prefixes: list[str], key: str = "id") -> DataFrame:
@@ -78,11 +131,15 @@ def new_candidates(corpus: DataFrame, seen: DataFrame, key: str = "doi", order:
     return fresh if limit is None else fresh.limit(limit)
 
 
-def update_from(target: DataFrame, labels: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Overwrite columns where a label exists; ``updated`` tells which rows."""
-    build = labels.select(F.col(key).alias("__k"), *[F.col(c).alias(f"__{c}") for c in columns])
+def update_from(target: DataFrame, labels: DataFrame, key: str, columns: list[str], order: str | None = None) -> DataFrame:
+    """Overwrite columns where a label exists; ``updated`` tells which rows.
+
+    Of repeated labels the last by ``order`` counts, without one the greatest.
+    """
+    latest = last_per_key(labels, key, order) if order else labels.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(*columns)).alias("__row")).select(key, "__row.*")
+    build = latest.select(F.col(key).alias("__k"), *[F.col(c).alias(f"__{c}") for c in columns])
     rows = target.join(build, F.col(key) == F.col("__k"), "left")
-    kept = [F.coalesce(F.col(f"__{c}"), F.col(c)).alias(c) if c in columns else F.col(c) for c in target.columns]
+    kept = [F.when(F.col("__k").isNotNull(), F.col(f"__{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in target.columns]
     return rows.select(*kept, F.col("__k").isNotNull().alias("updated"))
 
 
@@ -133,27 +190,26 @@ def greedy_assignment(candidates: DataFrame) -> DataFrame:
     Serial by nature within a connected group of candidates; mutual best pairs are taken round by
     round, which gives the same result and keeps every round a pair of aggregates and joins.
     """
-    spark, left, taken = candidates.sparkSession, candidates.select("line", "name", "score"), None
+    left, taken = materialize(candidates.select("line", "name", "score").distinct(), "candidates"), None
     rank = F.struct("score", "line", "name")
     while True:
         best_l = left.groupBy("line").agg(F.max(rank).alias("r")).select("r.*")
         best_n = left.groupBy("name").agg(F.max(rank).alias("r")).select("r.*")
-        mutual = best_l.join(best_n, ["line", "name", "score"]).collect()  # one round's pairs of a file-naming task
-        if not mutual:
+        found = materialize(best_l.join(best_n, ["line", "name", "score"]).select("line", "name", "score"), "mutual")
+        if found.isEmpty():
             break
-        found = spark.createDataFrame([(r.line, r.name, r.score) for r in mutual], candidates.select("line", "name", "score").schema)
         taken = found if taken is None else taken.unionByName(found)
-        left = left.join(found.select("line"), "line", "left_anti").join(found.select("name"), "name", "left_anti")
-    return candidates.select("line", "name", "score").limit(0) if taken is None else taken
+        left = materialize(left.join(found.select("line"), "line", "left_anti").join(found.select("name"), "name", "left_anti").select("line", "name", "score"), "candidates")
+    return left if taken is None else taken
 
 
 def partners(rows: DataFrame, order: str = "row_ord") -> DataFrame:
     """Each row's partner: half the table further on, round the corner."""
-    w = Window.orderBy(order)
-    n = rows.withColumn("__i", F.row_number().over(w)).withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy()))
-    at = F.pmod(F.col("__i") - 1 + F.greatest(F.lit(1), F.floor(F.col("__n") / 2)), F.col("__n")) + 1
-    other = n.select(F.col("__i").alias("__j"), *[F.col(c).alias(f"partner_{c}") for c in rows.columns])
-    return n.withColumn("__j", at).join(other, "__j").select(*rows.columns, *[f"partner_{c}" for c in rows.columns])
+    n = rows.count()
+    at = numbered(rows, order, name="__i")
+    other = at.select(F.col("__i").alias("__j"), *[F.col(c).alias(f"partner_{c}") for c in rows.columns])
+    ahead = F.pmod(F.col("__i") - 1 + max(1, n // 2), F.lit(max(n, 1))) + 1
+    return at.withColumn("__j", ahead).join(other, "__j").select(*rows.columns, *[f"partner_{c}" for c in rows.columns])
 
 
 def reconcile(local: DataFrame, remote: DataFrame) -> DataFrame:
@@ -167,14 +223,14 @@ def reconcile(local: DataFrame, remote: DataFrame) -> DataFrame:
 def cached_abstracts(corpus: DataFrame, cache: DataFrame, sources: list[tuple[str, DataFrame]]) -> DataFrame:
     """Fill abstracts: the cache first, then sources in order, the first that has one.
 
-    ``cache``/each source: doi, abstract. ``abstract_source`` names where it came from.
+    ``cache``/each source: doi, abstract; of repeated ones the greatest. ``abstract_source`` names where it came from.
     """
     out = corpus.withColumn("__key", F.left(F.sha2("doi", 256), F.lit(16)))
-    c = cache.select(F.left(F.sha2("doi", 256), F.lit(16)).alias("__key"), F.col("abstract").alias("__cache"))
+    c = cache.groupBy(F.left(F.sha2("doi", 256), F.lit(16)).alias("__key")).agg(F.max("abstract").alias("__cache"))
     out = out.join(c, "__key", "left")
     names: list[tuple[str, Column]] = [("cache", F.col("__cache"))]
     for name, df in sources:
-        out = out.join(df.select("doi", F.nullif(F.trim("abstract"), F.lit("")).alias(f"__{name}")), "doi", "left")
+        out = out.join(df.groupBy("doi").agg(F.max(F.nullif(F.trim("abstract"), F.lit(""))).alias(f"__{name}")), "doi", "left")
         names.append((name, F.col(f"__{name}")))
     own = F.col("abstract")
     label = F.coalesce(F.when(own.isNotNull(), F.col("abstract_source")), *[F.when(c.isNotNull(), n) for n, c in names], F.lit("none"))

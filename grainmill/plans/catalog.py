@@ -6,34 +6,17 @@ for a keyed log, conversations for chat rows and pages for raw exports.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from grainmill.functions import jsonx
 from grainmill.functions import text as T
 from grainmill.operators import body, corpus, evaluate, gates, generate, joins, oa, rules, windows
+from grainmill.plans.registry import ORACLE_SQL, QUERIES, query, table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
 _WS = r"[ \t\n\r\f\x0B]+"
 
 
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
-
-
 def key(c: str = "text"):
     return F.lower(F.trim(F.regexp_replace(c, _WS, " ")))
 
@@ -451,3 +434,8 @@ def merged_slices(spark, d):
     rows = table(spark, d, "labels").join(table(spark, d, "documents").select("doc_id", "lang"), "doc_id")
     s = rows.groupBy(F.col("lang").alias("slice")).agg(F.count(F.lit(1)).alias("scored"), F.round(F.avg("quality"), 4).alias("pass_rate"))
     return s.unionByName(evaluate.merge_slices(s).select(F.lit("merged").alias("slice"), "scored", "pass_rate"))
+
+
+from grainmill.plans import catalog_rows  # noqa: E402  registers its queries
+
+__all__ = ["ORACLE_SQL", "QUERIES", "catalog_rows"]

@@ -39,11 +39,11 @@ def replace_range(old: DataFrame, new: DataFrame, column: str, first: int, last:
 
 
 def update_rows(old: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Rows with the changed columns of their key; to be written to a new path and swapped."""
+    """Rows with the changed columns of their key, nulls too; to be written to a new path and swapped."""
     cols = [c for c in changes.columns if c != key]
-    renamed = changes.select(F.col(key), *[F.col(c).alias(f"__{c}") for c in cols])
+    renamed = changes.select(F.col(key), F.lit(True).alias("__hit"), *[F.col(c).alias(f"__{c}") for c in cols])
     out = old.join(renamed, key, "left")
-    return out.select(*[F.coalesce(F.col(f"__{c}"), F.col(c)).alias(c) if c in cols else F.col(c) for c in old.columns])
+    return out.select(*[F.when(F.col("__hit"), F.col(f"__{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c) for c in old.columns])
 
 
 def csv(df: DataFrame, path: str, bom: bool = False) -> None:
