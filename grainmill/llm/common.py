@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import tempfile
-import uuid
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grainmill import session
+from grainmill.session import materialize, scratch_dir
+
+__all__ = ["batches", "materialize", "read_table", "scratch_dir", "ship", "text_or_empty"]
+
 BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
-_SHIPPED: set[str] = set()
-_SCRATCH: dict[str, str] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,58 +30,7 @@ def ship(spark: SparkSession) -> None:
     """
     if spark.conf.get(_BATCH) == "10000":
         spark.conf.set(_BATCH, str(BATCH_ROWS))
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    root = Path(__file__).resolve().parents[1]
-    folder = tempfile.mkdtemp(prefix="grainmill-code-")  # the driver's; addPyFile serves it to executors
-    target = os.path.join(folder, "grainmill_src.zip")
-    with zipfile.ZipFile(target, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent).as_posix())
-    spark.sparkContext.addPyFile(target)
-    _SHIPPED.add(app)
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """A folder of this application inside ``spark.checkpoint.dir``.
-
-    Only a local master may run without that setting: there the driver and the tasks share one
-    disk and a temporary folder is set. On a cluster the setting is required.
-    """
-    app = spark.sparkContext.applicationId
-    if app not in _SCRATCH:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root:
-            if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            root = "file://" + tempfile.mkdtemp(prefix="grainmill-scratch-")
-            if not spark.sparkContext.getCheckpointDir():
-                spark.sparkContext.setCheckpointDir(root)
-        _SCRATCH[app] = f"{root.rstrip('/')}/grainmill-{uuid.uuid4().hex}"
-        atexit.register(_remove, spark, _SCRATCH[app])
-    return _SCRATCH[app]
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    """Delete the scratch folder when the driver ends; a driver that has lost its JVM leaves it."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:  # noqa: BLE001  the session may be stopped already
-        pass
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage: write ``df`` to the shared scratch folder and read it back.
-
-    A lost executor then costs a read of a shared file, not a new run of everything before.
-    """
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    session.ship(spark)
 
 
 def text_or_empty(col: str = "text"):
