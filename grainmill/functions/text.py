@@ -10,7 +10,7 @@ from __future__ import annotations
 import difflib
 import html
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -33,6 +33,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, also inside lambdas, where Spark shares nothing."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def arrow(kind: str):
     """An Arrow UDF that maps one value at a time and keeps nulls; needs no session to be defined."""
 

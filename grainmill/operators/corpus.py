@@ -108,6 +108,16 @@ def year_histogram(rows: DataFrame) -> DataFrame:
     return rows.where("year is not null").groupBy("year").agg(F.count(F.lit(1)).alias("n")).orderBy("year")
 
 
+def counts(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Rows of each combination of values, null being one."""
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+
+
+def distinct_values(rows: DataFrame, column: str) -> DataFrame:
+    """How many values a column has; null counts as one."""
+    return rows.agg((F.count_distinct(column) + F.coalesce(F.max(F.col(column).isNull().cast("long")), F.lit(0))).alias("n"))
+
+
 def enrichment_statistics(rows: DataFrame) -> DataFrame:
     n = F.count(F.lit(1))
     has = F.count_if(F.col("abstract").isNotNull())

@@ -160,7 +160,7 @@ def resolve_pdf(rows: DataFrame, files: DataFrame) -> DataFrame:
     Never a file of another DOI, whatever its line prefix. ``rows``: line, doi, pdf_path.
     """
     safe = T.doi_file_name("doi")
-    rows = rows.withColumn("__exact", F.concat(F.lpad(F.col("line").cast("string"), 3, "0"), F.lit("_"), safe, F.lit(".pdf"))).withColumn("__safe", safe)
+    rows = rows.withColumn("__exact", F.concat(F.format_string("%03d", "line"), F.lit("_"), safe, F.lit(".pdf"))).withColumn("__safe", safe)
     f = files.select("name").distinct()
     by_doi = f.withColumn("__s", F.regexp_extract("name", r"^[^_]*_(.+)\.pdf$", 1)).where("__s <> ''").groupBy("__s").agg(F.min("name").alias("__any"))
     out = rows.join(f.select(F.col("name").alias("__p")), F.col("pdf_path") == F.col("__p"), "left").join(f.select(F.col("name").alias("__e")), F.col("__exact") == F.col("__e"), "left").join(by_doi, F.col("__safe") == F.col("__s"), "left")

@@ -105,21 +105,20 @@ def pack_sentences(c: Column | str, budget: int = 1800) -> Column:
 def excerpt_parts(clean: Column) -> Column:
     """The sentences of a cleaned source that may go into an excerpt; its head if it has none."""
     parts = F.filter(F.split(clean, r"(?U)(?<=[.!?])\s+"), lambda s: F.length(F.trim(s)) > 20)
-    return F.when(F.size(parts) > 0, parts).otherwise(F.array(F.left(clean, F.lit(2000))))
+    return T.let(parts, lambda p: F.when(F.size(p) > 0, p).otherwise(F.array(F.left(clean, F.lit(2000)))))
 
 
 def packed_excerpt(passage: Column | str, clean: Column, parts: Column, budget: int = 1800) -> Column:
     """A cleaned source if it fits; else its parts by token overlap with the passage, packed."""
-    tokens = T.overlap_tokens(passage)
-    ranked = F.array_sort(F.transform(parts, lambda s, i: F.struct((-T.overlap_score(tokens, T.overlap_tokens(s))).alias("k"), i.alias("i"), F.trim(s).alias("s"))))
+    # the passage's tokens are bound once, not found anew for every sentence
+    ranked = T.let(T.overlap_tokens(passage), lambda t: F.array_sort(F.transform(parts, lambda s, i: F.struct((-T.overlap_score(t, T.overlap_tokens(s))).alias("k"), i.alias("i"), F.trim(s).alias("s")))))
     packed = F.array_join(pack_sentences(F.transform(ranked, lambda r: r["s"]), budget), "\n\n")
-    return F.when(F.length(clean) <= budget, clean).otherwise(F.coalesce(F.nullif(packed, F.lit("")), F.left(clean, F.lit(budget))))
+    return F.when(F.length(clean) <= budget, clean).otherwise(F.coalesce(T.let(packed, lambda p: F.when(p != "", p)), F.left(clean, F.lit(budget))))
 
 
 def chunk_excerpt(passage: Column | str, source: Column | str, budget: int = 1800) -> Column:
     """The source if it fits; else its sentences by token overlap with the passage, packed."""
-    clean = T.normalize_ws(source)
-    return packed_excerpt(passage, clean, excerpt_parts(clean), budget)
+    return T.let(T.normalize_ws(source), lambda clean: packed_excerpt(passage, clean, excerpt_parts(clean), budget))
 
 
 def trim_largest(rows: DataFrame, bucket: str, order: str, cap: int) -> DataFrame:

@@ -14,11 +14,9 @@ from grainmill.functions import text as T
 from grainmill.operators import body, corpus, evaluate, gates, generate, joins, oa, rules, windows
 from grainmill.plans.registry import ORACLE_SQL, QUERIES, query, table
 
-_WS = r"[ \t\n\r\f\x0B]+"
-
 
 def key(c: str = "text"):
-    return F.lower(F.trim(F.regexp_replace(c, _WS, " ")))
+    return T.dedupe_key(c)
 
 
 _KEY = r"lower(trim(regexp_replace(text, '[ \t\n\r\f\v]+', ' ', 'g')))"
@@ -27,8 +25,7 @@ _SPACE = r"[ \t\n\r\f\x0B]+"
 
 
 def sents(least: int = 40):
-    parts = F.split(F.regexp_replace("text", r"^[ \t\n\r]+|[ \t\n\r]+$", ""), r"(?<=[.!?])" + _SPACE)
-    return F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: F.length(s) >= least)
+    return T.sentences("text", least)
 
 
 @query("SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text) WHERE b.text <> ''")
@@ -202,7 +199,8 @@ def rates_grouping_sets(spark, d):
 @query("SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels")
 def missing_predictions(spark, d):
     """Documents without a label."""
-    return table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels").select("doc_id"), "doc_id", "left_anti").distinct()
+    ids = lambda t: table(spark, d, t).select(F.col("doc_id").alias("id"))
+    return evaluate.missing_ids(ids("documents"), ids("labels")).select(F.col("id").alias("doc_id")).distinct()
 
 
 @query(f"""SELECT doc_id, key_md5 FROM (SELECT doc_id, md5({_KEY}) AS key_md5, row_number() OVER (PARTITION BY {_KEY} ORDER BY doc_id) AS r FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) WHERE r = 1 ORDER BY doc_id LIMIT 100""")
@@ -417,7 +415,7 @@ def min_claim_floor(spark, d):
 @query("SELECT (SELECT count(DISTINCT lang) FROM documents) + (SELECT CAST(max(lang IS NULL) AS BIGINT) FROM documents) AS n")
 def distinct_with_null(spark, d):
     """Distinct values, null counting as one."""
-    return table(spark, d, "documents").agg((F.count_distinct("lang") + F.max(F.col("lang").isNull().cast("long"))).alias("n"))
+    return corpus.distinct_values(table(spark, d, "documents"), "lang")
 
 
 @query("SELECT s, 'bh-' || lpad(CAST(row_number() OVER (ORDER BY doc_id) AS VARCHAR), 3, '0') AS new_id FROM (SELECT doc_id, lang || ':' || doc_id AS s FROM documents WHERE length(text) BETWEEN 300 AND 500)")
@@ -436,6 +434,6 @@ def merged_slices(spark, d):
     return s.unionByName(evaluate.merge_slices(s).select(F.lit("merged").alias("slice"), "scored", "pass_rate"))
 
 
-from grainmill.plans import catalog_rows  # noqa: E402  registers its queries
+from grainmill.plans import catalog_eval, catalog_io, catalog_rows, catalog_text  # noqa: E402  they register their queries
 
-__all__ = ["ORACLE_SQL", "QUERIES", "catalog_rows"]
+__all__ = ["ORACLE_SQL", "QUERIES", "catalog_eval", "catalog_io", "catalog_rows", "catalog_text"]

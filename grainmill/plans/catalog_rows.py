@@ -266,7 +266,7 @@ _KINDS: list[tuple] = [
 def _claim_sql(i: int, c: tuple | None) -> str:
     text, verdict, quote, why, numeric = c or (None,) * 5
     cell = lambda v, name: f"{v if v is not None else 'NULL::VARCHAR'} AS {name}{i}"
-    return ", ".join([cell(f"left({text}, 200)" if text else None, "claim"), cell(lit(verdict) if verdict else None, "verdict"), cell(quote, "quote"), cell(why, "why"), f"{numeric or 'NULL::BOOLEAN'} AS numeric{i}"])
+    return ", ".join([cell(f"left({text}, 200)" if text else None, "claim"), cell(lit(verdict) if verdict else None, "verdict"), cell(quote, "quote"), cell(why, "why"), f"CAST({numeric or "NULL"} AS VARCHAR) AS numeric{i}"])
 
 
 def _select(row: tuple) -> str:
@@ -278,7 +278,7 @@ def _select(row: tuple) -> str:
 def _flat(rows):
     def claim(i):
         c = F.get("claims", i)
-        return [c["claim"].alias(f"claim{i}"), c["verdict"].alias(f"verdict{i}"), F.get(c["sourceQuotes"], 0).alias(f"quote{i}"), F.get(c["rationale"], 0).alias(f"why{i}"), c["hasNumericClaim"].alias(f"numeric{i}")]
+        return [c["claim"].alias(f"claim{i}"), c["verdict"].alias(f"verdict{i}"), F.get(c["sourceQuotes"], 0).alias(f"quote{i}"), F.get(c["rationale"], 0).alias(f"why{i}"), c["hasNumericClaim"].cast("string").alias(f"numeric{i}")]
 
     return rows.select("corpus_id", "kind", "passage", "source_excerpt", F.col("meta.url").alias("url"), F.col("meta.excerpt_mode").alias("mode"), F.col("overallVerdict").alias("overall"), *claim(0), *claim(1))
 

@@ -46,6 +46,21 @@ def update_rows(old: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     return out.select(*[F.when(F.col("__hit"), F.col(f"__{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c) for c in old.columns])
 
 
+def one_file(lines: DataFrame, path: str) -> None:
+    """A relation of text lines (one partition, in order) as one file of that very name.
+
+    For what is a single document by nature: a JSON array, a report, a sheet for people.
+    """
+    spark = lines.sparkSession
+    lines.coalesce(1).write.mode("overwrite").text(f"{path}.tmp")
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    part = next(f.getPath() for f in fs.listStatus(fs_path(f"{path}.tmp")) if f.getPath().getName().startswith("part-"))
+    fs.delete(fs_path(path), False)
+    fs.rename(part, fs_path(path))
+    fs.delete(fs_path(f"{path}.tmp"), True)
+
+
 def csv(df: DataFrame, path: str, bom: bool = False) -> None:
     """CSV with header; with a byte-order mark it is one file, for people's spreadsheets."""
     if not bom:
@@ -87,4 +102,4 @@ def markdown(df: DataFrame, most: int = 1000) -> str:
 
 
 def percent(c: Column) -> Column:
-    return F.coalesce(F.format_string("%.2f%%", c * 100), F.lit("n/a"))
+    return F.when(c.isNull(), "n/a").otherwise(F.format_string("%.2f%%", c * 100))
