@@ -327,18 +327,64 @@ def test_quality(spark, cases, none):
 
 
 # 4 licences
+def edited(words, rng, share):
+    """Words with a share of them replaced, dropped or put in, evenly strewn."""
+    out = []
+    for k, w in enumerate(words):
+        form = rng.randrange(3) if rng.random() < share else 3
+        out += [f"zz{k}"] if form == 0 else [] if form == 1 else [w, f"yy{k}"] if form == 2 else [w]
+    return out
+
+
 def test_licence_templates_and_edits():
-    index = licenses.TemplateIndex(licenses.TEMPLATES)
-    for name, text in licenses.TEMPLATES.items():
+    index, rng = licenses.TemplateIndex(licenses.templates()), random.Random(2)
+    for name, text in licenses.templates().items():
         found = index.scan(f"zzz qqq. {text} yyy".encode())
-        assert [f[2] for f in found] == [name] and found[0][3] == 1.0
-        w = text.split()
-        if len(w) > 25:
-            w[7] = "changed"
-            del w[12]
-            w.insert(18, "added")
-            assert [f[2] for f in index.scan(" ".join(w).encode())] == [name]
-    assert index.scan(b"the software is free of any words that matter") == []
+        assert [f[2] for f in found] == [name] and found[0][3] == 1.0, (name, found)
+        words = re.findall(r"[a-z0-9]+", text.lower())
+        if len(words) > 25:
+            for share in (0.02, 0.06):
+                got = index.scan(" ".join(edited(words, rng, share)).encode())
+                assert [f[2] for f in got] == [name] and got[0][3] > 0.85, (name, share, got)
+    for words in ("Released under this MIT License.", "Released under the MIT", "Released the MIT License", "Released under the new MIT License."):
+        assert [f[2] for f in index.scan(f"aa bb {words} cc".encode())] == ["MIT-notice"], words
+    assert index.scan(b"the software is free of any words that matter") == [] and index.scan(b"under the terms of the day is licensed under the sun") == []
+
+
+def test_licence_copies_with_every_fifth_word_changed_are_met():
+    index = licenses.TemplateIndex(licenses.templates())
+    for name in ("MIT", "Apache-2.0-header", "BSD-3-Clause", "GPL-3.0-header", "LGPL-3.0"):
+        words = re.findall(r"[a-z0-9]+", licenses.templates()[name].lower())
+        got = index.scan(" ".join(f"zz{k}" if k % 5 == 2 else w for k, w in enumerate(words)).encode())
+        assert [f[2] for f in got] == ([name] if 5 * (len(words) // 5 + (len(words) % 5 > 2)) <= len(words) else []), (name, got)
+
+
+def plain_alignment(words, ids):
+    """Best score and matched words of a template inside a text, over all cells."""
+    n, m = len(words), len(ids)
+    best = [[(0, 0)] * (m + 1)] + [[(-i, 0)] + [None] * m for i in range(1, n + 1)]
+    for i in range(1, n + 1):
+        for j in range(1, m + 1):
+            hit = words[i - 1] == ids[j - 1]
+            d, up, left = best[i - 1][j - 1], best[i - 1][j], best[i][j - 1]
+            best[i][j] = max((d[0] + (2 if hit else -1), d[1] + hit), (up[0] - 1, up[1]), (left[0] - 1, left[1]))
+    return max(best[n])
+
+
+def test_banded_alignment_equals_the_whole_matrix():
+    index, rng = licenses.TemplateIndex(licenses.TEMPLATES), random.Random(4)
+    for name in ("MIT-notice", "GPL-3.0-header", "Zlib", "MPL-2.0"):
+        t = index.names.index(name)
+        words = index.words[t].tolist()
+        for _ in range(6):
+            text = [0] * rng.randrange(9) + [0 if isinstance(w, str) else w for w in edited(words, rng, 0.1)] + [0] * rng.randrange(9)
+            text = [w if w else rng.choice([0, 0, words[3]]) for w in text]
+            ids = np.array(text)
+            score, matched = plain_alignment(words, text)
+            regions = list(index.candidates(ids))
+            got = max((index.align(k, ids, a, b) for k, a, b in regions if k == t), default=(0, 0, 0))
+            if matched >= 0.85 * len(words):
+                assert got[0] == matched and 0 <= got[1] < got[2] <= len(ids)
 
 
 def test_licence_query(spark, sf, cases, none):
