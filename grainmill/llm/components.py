@@ -62,15 +62,30 @@ def _contract(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a[i : i + (1 << 16)]), pa.array(b[i : i + (1 << 16)])], ["hi", "lo"])
 
 
-def _large_star(e: DataFrame) -> DataFrame:
+HUBS = 128
+
+
+def _with_min(rows: DataFrame, low: DataFrame, key: str, n: int) -> DataFrame:
+    """``rows`` with the minimum ``m`` of their key; ``low``: key, m, n (rows of the key).
+
+    Keys of more than one in ``HUBS`` of the ``n`` rows are ``HUBS`` at most: they are broadcast under that
+    bound, so no task gathers a hub's links. The others are joined by key.
+    """
+    low = materialize(low, "minima")
+    hubs = F.broadcast(low.where(F.col("n") > n // HUBS).select(key, "m"))
+    rest = rows.join(F.broadcast(low.where(F.col("n") > n // HUBS).select(key)), key, "left_anti")
+    return rows.join(hubs, key).unionByName(rest.join(low.where(F.col("n") <= n // HUBS).select(key, "m"), key))
+
+
+def _large_star(e: DataFrame, n: int) -> DataFrame:
     sym = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(e.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-    low = sym.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u"), F.least("u", "m").alias("m"))
-    return sym.where("v > u").join(low, "u").where("v <> m").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+    low = sym.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+    return _with_min(sym.where("v > u"), low, "u", 2 * n).where("v <> m").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
 
 
-def _small_star(e: DataFrame) -> DataFrame:
-    low = e.groupBy("hi").agg(F.min("lo").alias("m"))
-    moved = e.join(low, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+def _small_star(e: DataFrame, n: int) -> DataFrame:
+    low = e.groupBy("hi").agg(F.min("lo").alias("m"), F.count(F.lit(1)).alias("n"))
+    moved = _with_min(e, low, "hi", n).where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
     return moved.unionByName(low.select("hi", F.col("m").alias("lo"))).distinct()
 
 
@@ -88,7 +103,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     e = materialize(e.mapInArrow(_contract, "hi long, lo long"), "links")
     state = _state(e)
     while state[0]:
-        e = materialize(_small_star(_large_star(e)), "stars")
+        grown = materialize(_large_star(e, state[0]), "large-stars")
+        e = materialize(_small_star(grown, grown.count()), "stars")
         now = _state(e)
         if now == state:
             break
