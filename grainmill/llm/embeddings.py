@@ -13,13 +13,14 @@ none with a chance below one in a hundred, and closer ones practically never.
 Exact copies are grouped first and stand as one weighted vector. A filter of more than ``CELL``
 vectors is cut into pieces and every pair of pieces is a cell, compared by one matrix product, so no
 task's work grows with the hottest filter. A pair that shares several filters counts in the
-smallest only. Cells hand on link counts per vector and a spanning forest of their links, never the
+smallest only (a vector goes to a filter with those before it). Cells hand on link counts per vector and a spanning forest of their links, never the
 pairs themselves.
 
 Defined results: vectors that are null, empty, zero or hold a null or non-finite component link
 with nothing, nor do rows without a ``vec_id`` (their component is null); vectors link only with
-those of their own dimension; repeated rows count as further vectors; an empty table gives an
-empty result; other columns are ignored.
+those of their own dimension; repeated rows count as further vectors, also different vectors of one
+``vec_id``, each of which gets its own counts; an empty table gives an empty result; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -213,22 +214,52 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
     kind = kind if kind in ("array<float>", "array<double>") else "array<double>"
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding"))
     good = rows.where(usable() & F.col("vec_id").isNotNull())
-    nodes = materialize(good.groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("weight")).select("node", "weight", "embedding"), "vectors")
-    n = nodes.count()
-    coded = materialize(nodes.mapInArrow(_filters(n), f"node long, weight long, embedding {kind}, filters array<long>"), "caps")
+    groups = good.groupBy("embedding").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("weight"))
+    # the table is written with its node numbers: different vectors of one vec_id stay apart
+    nodes = materialize(groups.select(F.monotonically_increasing_id().alias("node"), "least", "weight", F.xxhash64("embedding").alias("hash"), "embedding"), "vectors")
+    n, n_rows = nodes.agg(F.count(F.lit(1)), F.coalesce(F.sum("weight"), F.lit(0))).first()
+    coded = materialize(nodes.select("node", "weight", "embedding").mapInArrow(_filters(n), f"node long, weight long, embedding {kind}, filters array<long>"), "caps")
     spread = coded.select("node", F.explode("filters").alias("filter"))
     # filters of one vector need no comparison; of the others, how many pieces: one unless it is crowded
     sizes = materialize(spread.groupBy("filter").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("filter", F.ceil(F.col("n") / F.lit(CELL)).cast("int").alias("parts")), "cap-sizes")
-    dealt = coded.select("node", "weight", "embedding", "filters", F.explode("filters").alias("filter")).join(sizes, "filter")
+    # a row carries the filters before its own only: those in which a pair would count first
+    dealt = coded.select("node", "weight", "embedding", F.posexplode("filters").alias("at", "filter"), "filters").select("node", "weight", "embedding", "filter", F.slice("filters", F.lit(1), F.col("at")).alias("filters")).join(sizes, "filter")
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select("filter", F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"), "part", "node", "weight", "embedding", "filters")
     dealt = dealt.repartition(n_parts, "filter", "first", "second").sortWithinPartitions("filter", "first", "second")
     found = materialize(dealt.mapInArrow(_cells, "kind int, a long, b long"), "cap-links")
     counts = found.where("kind = 0").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("links"))
     comp = connected_components(found.where("kind = 1").select("a", "b"))
-    label = nodes.join(counts, "node", "left").join(comp, "node", "left").select("node", "embedding", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
-    label = materialize(label, "labels")
-    copies = label.where("n_links > 0").select(F.col("embedding").alias("__e"), F.col("n_links").alias("__n"), F.col("component_id").alias("__c"))
-    out = rows.join(copies, (F.col("embedding") == F.col("__e")) & F.col("vec_id").isNotNull(), "left")
-    component = F.coalesce("__c", "vec_id")
-    return out.select("vec_id", F.coalesce("__n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+    named = nodes.select("node", "least", "weight", "hash").join(counts, "node", "left").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = named.select("node", "least", "weight", "hash", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component").where("n_links > 0")
+    label = materialize(named, "labels")
+    smallest = label.groupBy("component").agg(F.min("least").alias("component_id"))
+    label = materialize(label.join(smallest, "component").select("node", "weight", "hash", "n_links", "component_id"), "labelled")
+    return _on_rows(rows, nodes, label, n_rows)
+
+
+def _on_rows(rows: DataFrame, nodes: DataFrame, label: DataFrame, n_rows: int) -> DataFrame:
+    """Every row's result: labels joined by the vector's hash.
+
+    Vectors whose hash another one shares are told apart by the whole vector. Groups of more than a
+    thousandth of the rows, a thousand at most, are broadcast under that bound: no task gathers one.
+    """
+    shared = nodes.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
+    apart = nodes.join(shared, "hash", "left_semi").select("node", "embedding").join(label, "node").select(F.col("embedding").alias("__e"), "hash", "n_links", "component_id")
+    alone = label.join(shared, "hash", "left_anti")
+    keep = ("hash", "n_links", "component_id")
+    hot = alone.where(F.col("weight") > n_rows // 1000)
+    keyed = rows.where(usable() & F.col("vec_id").isNotNull()).withColumn("hash", F.xxhash64("embedding"))
+    none = rows.where(~(usable() & F.col("vec_id").isNotNull()))
+    rest = keyed.join(F.broadcast(hot.select("hash")), "hash", "left_anti")
+    twins = rest.join(shared, "hash", "left_semi")
+    cold = rest.select("vec_id", "hash").join(shared, "hash", "left_anti").join(alone.where(F.col("weight") <= n_rows // 1000).select(*keep), "hash", "left")
+    parts = [
+        keyed.join(F.broadcast(hot.select(*keep)), "hash").select("vec_id", "n_links", "component_id"),
+        cold.select("vec_id", "n_links", "component_id"),
+        twins.join(apart.withColumnRenamed("hash", "__h"), (F.col("hash") == F.col("__h")) & (F.col("embedding") == F.col("__e")), "left").select("vec_id", "n_links", "component_id"),
+        none.select("vec_id", F.lit(None).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id")),
+    ]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    component = F.coalesce("component_id", "vec_id")
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))

@@ -806,3 +806,15 @@ def test_pipeline_equals_brute_force(spark, sf):
     check_packing(rows, left, 1)
     stage = corpus_pipeline.STAGES[1][1](spark, docs_, sf)
     assert stage.columns == docs_.columns and F is not None
+
+
+def test_embeddings_of_one_id_keep_their_own_counts(spark, monkeypatch):
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.99, 0.01]
+    rows = [(1, a), (1, b), (2, a), (3, c), (4, [0.0, 0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in embeddings.near_duplicates(df).collect())
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 0, 4, True)]
+    # hashes that different vectors share are told apart by the vectors
+    with monkeypatch.context() as m:
+        m.setattr(embeddings.F, "xxhash64", lambda *c: F.lit(7).cast("long") + 0 * F.size(F.array(*[F.col(x) if isinstance(x, str) else x for x in c])))
+        assert sorted(tuple(r) for r in embeddings.near_duplicates(df).collect()) == got
