@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from grainmill.llm.common import batches, materialize, scratch_dir, ship, text_or_empty
 from grainmill.llm.tokenfile import read_file, write_file
 from grainmill.llm.tokens import default_tokenizer, encoder
+from grainmill.operators.windows import running_total
 
 END, FILE_IDS, ROOM = 2, 8 << 20, 2
 _MANIFEST = "path string, part int, file int, n_docs long, n_ids long, n_bytes long"
@@ -78,15 +79,13 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end
 def read_tokens(manifest: DataFrame, folder: str, with_ids: bool = False) -> DataFrame:
     """``(doc_id, start, n_tokens, ids_crc32)`` of every document, read from the files.
 
-    ``start`` counts the ids before a document; files know their own, the manifest adds what the
-    files before them hold (one number per file). ``with_ids`` adds the ids.
+    ``start`` counts the ids before a document; files know their own, a running total over the
+    manifest adds what the files before them hold. ``with_ids`` adds the ids.
     """
     spark = manifest.sparkSession
-    files = manifest.select("path", "part", "file", "n_ids").orderBy("part", "file").collect()  # one row per file
-    rows, at = [], 0
-    for r in files:
-        rows.append((r.path, at))
-        at += r.n_ids
+    order = (F.col("part").cast("long") * (1 << 24) + F.col("file")).alias("place")
+    files = running_total(manifest.select("path", "n_ids", order), F.col("n_ids"), [], "place", "upto")
+    files = materialize(files.select("path", (F.col("upto") - F.col("n_ids")).alias("first")), "files")
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
 
     def read(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,9 +105,8 @@ def read_tokens(manifest: DataFrame, folder: str, with_ids: bool = False) -> Dat
                         cols.append(pa.array([p.astype(np.int32) for p in parts], pa.list_(pa.int32())))
                     yield pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in schema.split(", ")])
 
-    if not rows:
-        return spark.createDataFrame([], schema)
-    return spark.createDataFrame(rows, "path string, first long").repartition(len(rows)).mapInArrow(read, schema)
+    # some files a task; round robin over a written table, whose rows are a file each
+    return files.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(read, schema)
 
 
 def token_round_trip(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
