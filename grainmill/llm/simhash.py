@@ -1,17 +1,18 @@
 """SimHash near-duplicates, linked by BK-trees.
 
-The method's trees are sharded by the pigeonhole rule: two 64-bit fingerprints that differ in at
-most ``radius`` bits agree on at least one of ``radius + 1`` equal segments, so a shard holds the
-distinct fingerprints of one (segment, value) and a fingerprint queries only its own
-``radius + 1`` shards. Each shard is a BK-tree (children keyed by the integer Hamming distance to
+The method's trees are sharded by the pigeonhole rule: of ``b`` segments of a 64-bit fingerprint a
+difference of at most ``radius`` bits leaves ``b - radius`` whole, so a shard holds the distinct
+fingerprints of one choice of so many segments and their values, and a fingerprint queries only its
+own shards, one per choice. Their keys are 16 bits wide (4 choices) for up to 4 million fingerprints,
+24 or more (10 choices) up to some billions, 30 or more (20 choices) beyond (``blocks``), so that
+shards stay small as the table grows. Each shard is a BK-tree (children keyed by the integer Hamming distance to
 the parent) and a query follows only the edges within the radius of its own distance.
 
 The trees are not sent to every executor: they hold the fingerprints of the whole corpus, so a
 broadcast has no size bound. The queries travel to their tree's task instead. A shard above
 ``SHARD`` fingerprints is cut into pieces and every pair of pieces becomes a cell of its own, so no
-task's tree or query set grows with the hottest shard. Whether to cut is read from the histogram of
-segment values, which has at most ``(radius + 1) * 65536`` rows whatever the input: that table is
-broadcast under this bound.
+task's tree or query set grows with the hottest shard. The crowded shards, at most one in ``SHARD``
+of the table's keys, are counted first and joined.
 
 Defined results: null text counts as empty; no words gives fingerprint zero, linked like any
 other; repeated rows each get their row; a null ``doc_id`` gets its fingerprint, is no link's end
@@ -22,11 +23,12 @@ read, so extra columns of any name do not matter.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainmill.llm.common import batches, materialize, ship, text_or_empty
@@ -128,9 +130,8 @@ class Forest:
                 q = np.repeat(q, n)
 
 
-def cell_links(cell: np.ndarray, part: np.ndarray, home: np.ndarray, fp: np.ndarray, node: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links between the fingerprints of each cell: its first part is the tree, its second the queries."""
-    tree, asks = part == home, part == cell % (1 << 20)
+def cell_links(cell: np.ndarray, tree: np.ndarray, asks: np.ndarray, fp: np.ndarray, node: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between the fingerprints of each cell: some are its tree, some (or the same) its queries."""
     f = Forest(cell[tree], fp[tree])
     t_fp, t_node = fp[tree], node[tree]
     cell, fp, node = cell[asks], fp[asks], node[asks]
@@ -148,21 +149,22 @@ def cell_links(cell: np.ndarray, part: np.ndarray, home: np.ndarray, fp: np.ndar
 
 
 def _cells(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by cell; whole cells are gathered and searched, a few thousand rows at a time."""
+    """Rows sorted by cell (shard, first and second piece); whole cells are searched, a few thousand rows at a time."""
     held: list[list[np.ndarray]] = []
 
     def flush(cols: list[np.ndarray]) -> pa.RecordBatch:
-        a, b = cell_links(*cols, RADIUS)
+        shard, home, other, part, fp, node = cols
+        a, b = cell_links(np.cumsum(_new(cols)), part == home, part == other, fp, node, RADIUS)
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     size = 0
     for batch in it:
-        cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+        cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
         held.append(cols)
         size += batch.num_rows
         if size >= 4 * SHARD:
             cols = [np.concatenate(x) for x in zip(*held)]
-            cut = int(np.searchsorted(cols[0], cols[0][-1]))
+            cut = int(np.flatnonzero(_new(cols))[-1])
             if cut:
                 yield flush([x[:cut] for x in cols])
                 cols = [x[cut:] for x in cols]
@@ -171,27 +173,45 @@ def _cells(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush([np.concatenate(x) for x in zip(*held)])
 
 
-def fingerprint_links(fps: DataFrame, shard: int = SHARD, radius: int = RADIUS) -> DataFrame:
+def _new(cols: list[np.ndarray]) -> np.ndarray:
+    """Where a cell begins."""
+    out = np.ones(len(cols[0]), bool)
+    out[1:] = (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1]) | (cols[2][1:] != cols[2][:-1])
+    return out
+
+
+def blocks(n: int) -> int:
+    """Segments of a fingerprint for a table of n: four, five or six."""
+    return 4 if n <= 1 << 22 else 5 if n <= 1 << 32 else 6
+
+
+def _shards(n_blocks: int, radius: int) -> Column:
+    """A fingerprint's shard keys: every choice of ``n_blocks - radius`` segments, with their values."""
+    widths = [64 // n_blocks + (i < 64 % n_blocks) for i in range(n_blocks)]
+    value = [F.shiftrightunsigned("fp", sum(widths[:i])).bitwiseAND(F.lit((1 << w) - 1)) for i, w in enumerate(widths)]
+    keys = []
+    for k, chosen in enumerate(combinations(range(n_blocks), n_blocks - radius)):
+        key = F.lit(k).cast("long")
+        for i in chosen:
+            key = key * (1 << widths[i]) + value[i]
+        keys.append(key)
+    return F.explode(F.array(*keys))
+
+
+def fingerprint_links(fps: DataFrame, shard: int = SHARD, radius: int = RADIUS, n_blocks: int | None = None) -> DataFrame:
     """Star links ``(a, b)`` that join all ``(fp, node)`` whose fingerprints differ in <= 3 bits.
 
-    ``fps`` has one row per distinct fingerprint. The segments' histogram is the only broadcast.
+    ``fps`` has one row per distinct fingerprint.
     """
     if radius != RADIUS:
         raise ValueError("the shards are laid out for a radius of 3")
-    seg = F.explode(F.array(*[F.struct(((F.lit(s) * 65536) + F.shiftrightunsigned("fp", 16 * s).bitwiseAND(F.lit(65535))).cast("int").alias("seg")) for s in range(4)]))
-    rows = fps.select("fp", "node", seg.alias("s")).select("fp", "node", F.col("s.seg").alias("seg"))
-    parts = rows.groupBy("seg").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seg", F.ceil(F.col("n") / F.lit(shard)).cast("int").alias("parts"))  # <= 262,144 rows
-    own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    dealt = rows.join(F.broadcast(parts), "seg").withColumn("part", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select(
-        ((F.col("seg").cast("long") * (1 << 20) + F.least("part", "other")) * (1 << 20) + F.greatest("part", "other")).alias("cell"),
-        F.col("part").cast("long").alias("part"),
-        F.least("part", "other").cast("long").alias("home"),
-        "fp",
-        "node",
-    )
+    rows = fps.select("fp", "node", _shards(n_blocks or blocks(fps.count()), radius).alias("shard"))
+    crowded = rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > shard).select("shard", F.ceil(F.col("n") / F.lit(shard)).cast("int").alias("parts"))
+    cut = rows.join(materialize(crowded, "crowded-shards"), "shard", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    cut = cut.withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = cut.select("shard", F.least("part", "piece").alias("home"), F.greatest("part", "piece").alias("other"), "part", "fp", "node")
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(_cells, "a long, b long")
+    return dealt.repartition(n, "shard", "home", "other").sortWithinPartitions("shard", "home", "other").mapInArrow(_cells, "a long, b long")
 
 
 def simhash_components(docs: DataFrame) -> DataFrame:

@@ -457,8 +457,8 @@ def test_cut_shards_link_the_same(spark):
     rng = np.random.default_rng(5)
     fp = np.unique(np.concatenate([rng.integers(-(2**63), 2**63 - 1, 200), np.bitwise_xor(12345, np.left_shift(1, rng.integers(0, 60, 150)))]))
     df = spark.createDataFrame([(int(x), i) for i, x in enumerate(fp)], "fp long, node long")
-    links = [{tuple(sorted(r)) for r in components.connected_components(simhash.fingerprint_links(df, shard=s)).collect()} for s in (4096, 7)]
-    assert links[0] == links[1] and links[0]
+    links = [{tuple(sorted(r)) for r in components.connected_components(simhash.fingerprint_links(df, shard=s, n_blocks=b)).collect()} for s, b in ((4096, 4), (7, 4), (4096, 5), (3, 6))]
+    assert links[0] == links[1] == links[2] == links[3] and links[0]
 
 
 # 6 exact top-k
@@ -475,6 +475,17 @@ def test_top_k(spark):
         assert [(a, b) for _, a, b in mine] == want
 
 
+def test_top_k_query_and_crowded_buckets(spark, sf):
+    df = topk.binary_codes(spark.read.parquet(f"{sf}/embeddings.parquet"))
+    code = {r.vec_id: r.code & (2**64 - 1) for r in df.collect()}
+    want = {(q, rank + 1, i, d) for q in code if q % 50 == 0 for rank, (d, i) in enumerate(sorted((bin(code[i] ^ code[q]).count("1"), i) for i in code if i != q)[:10])}
+    assert {tuple(r) for r in queries.op6_exact_top_k(spark, sf).collect()} == want
+    assert {tuple(r) for r in topk.top_k(df, df.where("vec_id % 50 = 0"), 10, cell=1).collect()} == want
+    for n in (0, 1, 1000, 10**5, 10**7, 10**10):
+        seg = topk.layout(n)
+        assert sum(w for _, w in seg) == 64 and [f for f, _ in seg] == [sum(w for _, w in seg[:i]) for i in range(len(seg))] and max(w for _, w in seg) <= topk._KEY
+
+
 def test_top_k_small_tables(spark):
     rows = [(0, [1.0, 2.0]), (50, [1.0, 2.0]), (3, [-1.0, 0.5]), (100, None), (4, [0.0, 0.0]), (None, [1.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
