@@ -29,7 +29,7 @@ from grainmill.llm.tokenfile import read_file, write_file
 from grainmill.llm.tokens import default_tokenizer, encoder
 from grainmill.operators.windows import running_total
 
-END, FILE_IDS, ROOM = 2, 8 << 20, 2
+END, FILE_IDS, ROOM = 2, 8 << 20, 3
 _MANIFEST = "path string, part int, file int, n_docs long, n_ids long, n_bytes long"
 
 

@@ -16,8 +16,8 @@ import re
 import numpy as np
 
 #: Chunks and words per generation of a Python worker's tables, and the longest that is kept: with
-#: its ids one takes 400 bytes at most, so all tables stay near 200 MB whatever the texts hold.
-CHUNKS, WORDS, LONGEST = 200_000, 250_000, 64
+#: its ids one takes 400 bytes at most, so all tables stay near 150 MB whatever the texts hold.
+CHUNKS, WORDS, LONGEST = 150_000, 150_000, 64
 
 _PARTS = re.compile(r"[a-z\x80-ɏ]+|[0-9]|[^a-z0-9\x80-ɏ]+")
 _LETTERS = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+")
