@@ -20,6 +20,7 @@ import numpy as np
 CHUNKS, WORDS, LONGEST = 150_000, 150_000, 64
 
 _PARTS = re.compile(r"[a-z\x80-ɏ]+|[0-9]|[^a-z0-9\x80-ɏ]+")
+_MARKS = frozenset(b".,;:!?)*#|")
 _LETTERS = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+")
 _PLAIN = re.compile(r"[!-&(-@\[-~\xdf-\xf6\xf8-\xff]+")  # lower-case letters, digits, marks; no apostrophe
 
@@ -81,17 +82,21 @@ class IdEncoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
-    def _word(self, word: str) -> bytes:
+    def _word(self, word: bytes) -> bytes:
         """Ids of one pre-token that the normaliser leaves as it is."""
-        spelt = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
+        spelt = word.decode() if word.isascii() else "".join(map(self.letters.__getitem__, word))
         return b"".join([self.two[t.id] for t in self.lib.model.tokenize(spelt)])
 
     def _chunk(self, chunk: bytes) -> bytes:
+        if chunk.isalpha():  # ASCII letters, lower-case by now
+            return self.words[chunk]
+        if chunk[-1] in _MARKS and chunk[:-1].isalpha():
+            return self.words[chunk[:-1]] + self.words[chunk[-1:]]
         text = chunk.decode("utf-8", "replace")
         if _LETTERS.fullmatch(text):
-            return self.words[text]
+            return self.words[chunk]
         if _PLAIN.fullmatch(text):
-            return b"".join(map(self.words.__getitem__, _PARTS.findall(text)))
+            return b"".join([self.words[p.encode()] for p in _PARTS.findall(text)])
         return self.whole(text)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:

@@ -504,6 +504,7 @@ def library():
 def test_encoder_equals_the_library(docs):
     enc, lib, rng = tokens.IdEncoder(tokens.default_tokenizer()), library(), random.Random(8)
     odd = ["a\x1cb Ünïcode İstanbul it's DON'T x² naïve <|endoftext|> <|STARTOFTEXT|> 12ab3,4.", "", " ", "sſß µm ÷× ﬁ ١٢ 漢字 — “q” a,b.c's", "ªº Ĳĳ ÿŸİ Σςσ é"]
+    odd += [" ".join("".join(rng.choices("abcé", k=rng.randrange(4))) + rng.choice(".,;:!?)*#|'-0_") for _ in range(60)) for _ in range(40)]
     odd += ["".join(chr(rng.choice([rng.randrange(33, 127), rng.randrange(0xA0, 0x260), 32, rng.randrange(0x300, 0x2100)])) for _ in range(50)) for _ in range(600)]
     for t in [*odd, *texts(docs).values()]:
         assert np.frombuffer(enc.encode([t.encode()])[0], "<u2").tolist() == lib.encode(t, add_special_tokens=False).ids, t
