@@ -49,6 +49,7 @@ JOIN, BYTES = 1.0, 2.0
 #: Kept chunks and pair costs, and the longest chunk that is kept: some 250 MB at most.
 CHUNKS, PAIRS, LONGEST = 600_000, 1_000_000, 64
 _CHUNK = re.compile("▁+[^▁]*|[^▁]+")
+_NONE: dict = {}
 
 
 def default_model() -> str:
@@ -173,17 +174,22 @@ class PieceTransducer:
 
     def shortest(self, text: str) -> tuple[float, list[str]]:
         """Cost and arcs of the shortest path over a normalised text."""
-        n, root, arcs, weight = len(text), self.lexicon.root, self.lexicon.arcs, self.weight
+        n, root, ids, pairs = len(text), self.lexicon.root, self.lexicon.ids, self.pairs
         cost, arc = [math.inf] * (n + 1), [""] * (n + 1)
         cost[0] = 0.0
         for at in range(n):
             here, last = cost[at], arc[at]
             if here == math.inf:
                 continue
-            for end, b in arcs(text, at):
-                if (new := here + weight(last, b)) < cost[end]:
-                    cost[end], arc[end] = new, b
-            if "" not in root.get(text[at], ()) and here + BYTES < cost[at + 1]:
+            known = pairs.get(last, _NONE) if last in ids else None
+            node, end = root, at
+            while end < n and (node := node.get(text[end])) is not None:  # the lexicon's arcs, as ``Lexicon.arcs``
+                end += 1
+                if (b := node.get("")) is not None:
+                    new = here + (JOIN if known is None else known[b] if b in known else self.weight(last, b))
+                    if new < cost[end]:
+                        cost[end], arc[end] = new, b
+            if "" not in root.get(text[at], _NONE) and here + BYTES < cost[at + 1]:
                 cost[at + 1], arc[at + 1] = here + BYTES, text[at]
         out, at = [], n
         while at:
