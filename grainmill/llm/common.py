@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from grainmill import session
 from grainmill.session import materialize, scratch_dir
 
-__all__ = ["batches", "materialize", "read_table", "scratch_dir", "ship", "text_or_empty"]
+__all__ = ["batches", "gathered", "materialize", "read_table", "scratch_dir", "ship", "text_or_empty"]
 
 BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -46,3 +46,16 @@ def batches(it: Iterator[pa.RecordBatch], limit: int = 2 << 20) -> Iterator[pa.R
         step = max(1, int(n * limit / max(b.nbytes, 1)))
         for i in range(0, n, step):
             yield b.slice(i, step)
+
+
+def gathered(it: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in as few batches as stay near ``limit`` bytes (one row at least)."""
+    held, size = [], 0
+    for b in batches(it, limit):
+        if held and size + b.nbytes > limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(b)
+        size += b.nbytes
+    if held:
+        yield pa.concat_batches(held)

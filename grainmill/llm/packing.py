@@ -35,8 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from grainmill.llm.common import batches, materialize, ship, text_or_empty
-from grainmill.llm.tokens import default_tokenizer, encoder
+from grainmill.llm.common import gathered, materialize, ship, text_or_empty
+from grainmill.llm.tokens import BATCH, default_tokenizer, encoder
 
 CAPACITY, END, LARGE, GROUPS, CHUNK = 4096, 1, (3, 8), 32, 8192
 
@@ -52,7 +52,7 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int =
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         tail = np.array([end], "<u4").tobytes()
-        for b in batches(it, 1 << 20):
+        for b in gathered(it, BATCH):
             rows, ids = [], []
             for doc, data in zip(b.column(0).to_pylist(), enc.encode(b.column(1).cast(pa.binary()).to_pylist())):
                 wide = np.frombuffer(data, "<u2").astype("<u4").tobytes() + tail

@@ -24,9 +24,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainmill.llm.common import batches, materialize, scratch_dir, ship, text_or_empty
+from grainmill.llm.common import gathered, materialize, scratch_dir, ship, text_or_empty
 from grainmill.llm.tokenfile import read_file, write_file
-from grainmill.llm.tokens import default_tokenizer, encoder
+from grainmill.llm.tokens import BATCH, default_tokenizer, encoder
 from grainmill.operators.windows import running_total
 
 END, FILE_IDS, ROOM = 2, 8 << 20, 3
@@ -54,7 +54,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end
             store.move(temp, name)
             made.append((name, part, k, len(docs_), n, len(data)))
 
-        for b in batches(it, 1 << 20):
+        for b in gathered(it, BATCH):
             for doc, ids in zip(b.column(0).to_pylist(), enc.encode(b.column(1).cast(pa.binary()).to_pylist())):
                 if docs_ and n + len(ids) // 2 > FILE_IDS:
                     put()

@@ -1,8 +1,10 @@
 """Exact, memoised encoding with a public word-level BPE tokenizer of the tokenizers library.
 
 The tokenizer drops white space and never forms a token across it, so a text's ids are the ids of
-its white-space separated chunks in order. Each distinct chunk is encoded by the library once and
-its ids are kept in a bounded table (long ones, as unspaced scripts have, are encoded each time). A chunk made of lower-case letters below U+0250 is left as it
+its white-space separated chunks in order. The texts of a batch are split and their chunks numbered
+as arrays, so that each distinct chunk of a batch is looked up once, whatever its count. Each is
+encoded by the library once and its ids are kept in a bounded table (long ones, as unspaced scripts
+have, are encoded each time). A chunk made of lower-case letters below U+0250 is left as it
 is by the tokenizer's normaliser and is one pre-token, so it goes straight to the library's BPE
 model; ASCII chunks without an apostrophe split at the letter/digit/punctuation boundaries that the
 pre-tokenizer splits at; every other chunk takes the library's whole pipeline.
@@ -14,13 +16,18 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
 
-#: Chunks and words per generation of a Python worker's tables, and the longest that is kept: with
-#: its ids one takes 400 bytes at most, so all tables stay near 150 MB whatever the texts hold.
+#: Chunks and words per generation of a Python worker's table, and the longest that is kept: with
+#: its ids one takes 400 bytes at most, so the table stays near 150 MB whatever the texts hold.
 CHUNKS, WORDS, LONGEST = 150_000, 150_000, 64
+#: Bytes of text that callers should encode at once, and chunks looked up before the table ages.
+BATCH, STEP = 8 << 20, 1 << 15
 
 _PARTS = re.compile(r"[a-z\x80-ɏ]+|[0-9]|[^a-z0-9\x80-ɏ]+")
-_MARKS = frozenset(b".,;:!?)*#|")
+_MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and c != 39)  # no apostrophe
+_SPACE = np.zeros(256, bool)
+_SPACE[list(b" \t\n\r\x0b\x0c")] = True
 _LETTERS = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+")
 _PLAIN = re.compile(r"[!-&(-@\[-~\xdf-\xf6\xf8-\xff]+")  # lower-case letters, digits, marks; no apostrophe
 
@@ -74,8 +81,8 @@ class IdEncoder:
         self.lib = Tokenizer.from_file(path)
         if self.lib.get_vocab_size() > 65536:
             raise ValueError("ids of this tokenizer do not fit 16 bits")
-        self.table = Kept(self._chunk, room * CHUNKS)
-        self.words = Kept(self._word, room * WORDS)
+        self.table = self.words = Kept(self._chunk, room * (CHUNKS + WORDS))  # a word's ids are those of the chunk it makes
+        self.merge = self.lib.model.tokenize
         self.letters = _byte_letters()
         self.two = [i.to_bytes(2, "little") for i in range(65536)]
 
@@ -85,31 +92,62 @@ class IdEncoder:
     def _word(self, word: bytes) -> bytes:
         """Ids of one pre-token that the normaliser leaves as it is."""
         spelt = word.decode() if word.isascii() else "".join(map(self.letters.__getitem__, word))
-        return b"".join([self.two[t.id] for t in self.lib.model.tokenize(spelt)])
+        return b"".join([self.two[t.id] for t in self.merge(spelt)])
 
     def _chunk(self, chunk: bytes) -> bytes:
         if chunk.isalpha():  # ASCII letters, lower-case by now
-            return self.words[chunk]
-        if chunk[-1] in _MARKS and chunk[:-1].isalpha():
-            return self.words[chunk[:-1]] + self.words[chunk[-1:]]
+            return self._word(chunk)
+        word = chunk.rstrip(_MARKS)
+        if word.isalpha():
+            return self.words[word] + self.words[chunk[len(word) :]]
         text = chunk.decode("utf-8", "replace")
         if _LETTERS.fullmatch(text):
-            return self.words[chunk]
+            return self._word(chunk)
         if _PLAIN.fullmatch(text):
-            return b"".join([self.words[p.encode()] for p in _PARTS.findall(text)])
+            parts = _PARTS.findall(text)
+            return self._word(chunk) if len(parts) == 1 else b"".join([self.words[p.encode()] for p in parts])
         return self.whole(text)
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        get, join, out = self.table.__getitem__, b"".join, []
-        for t in texts:
-            if b"<|" in t:  # may spell a special token, which is matched before lower-casing
-                out.append(self.whole(t.decode("utf-8", "replace")))
-            else:
-                out.append(join(map(get, t.lower().split())))
+    def _look_up(self, chunks: list[bytes]) -> list[bytes]:
+        found = []
+        for i in range(0, len(chunks), STEP):
+            found += map(self.table.__getitem__, chunks[i : i + STEP])
             self.table.age()
-            self.words.age()
+        return found
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        special = [i for i, t in enumerate(texts) if b"<|" in t]  # may spell a special token, which is matched before lower-casing
+        if special:
+            texts = texts.copy()
+            aside = [texts[i] for i in special]
+            for i in special:
+                texts[i] = b""
+        out = self._split_and_encode(texts)
+        for k, i in enumerate(special):
+            out[i] = self.whole(aside[k].decode("utf-8", "replace"))
         return out
 
+    def _split_and_encode(self, texts: list[bytes]) -> list[bytes]:
+        data = np.frombuffer(b" ".join([*texts, b""]).lower(), np.uint8)  # a space behind each text
+        space = _SPACE[data]
+        at = np.flatnonzero(space)
+        size = np.diff(at, prepend=-1) - 1
+        full = size > 0
+        offsets = np.concatenate([[0], np.cumsum(size)[full]]).astype(np.int32)  # of the chunks in the text without spaces
+        chunks = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data[~space])]).dictionary_encode()
+        codes = chunks.indices.to_numpy(zero_copy_only=False)
+        found = self._look_up(chunks.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, found), np.int32, len(found)) >> 1
+        ids, first = np.frombuffer(b"".join(found), "<u2"), np.cumsum(sizes) - sizes
+        n = sizes[codes]
+        ends = np.cumsum(n, dtype=np.int64)
+        source = np.repeat(first[codes] - (ends - n), n)
+        source += np.arange(len(source))
+        out = ids[source].tobytes()
+        behind = np.searchsorted(at, np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1)  # each text's last space
+        ends = (np.concatenate([[0], ends])[np.cumsum(full)[behind]] * 2).tolist()
+        return [out[x:y] for x, y in zip([0, *ends], ends)]
+
 
 _ENCODERS: dict[tuple[str, int], IdEncoder] = {}
 

@@ -19,12 +19,13 @@ import zipfile
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 import zstandard
 from pyspark.sql import functions as F
 
-from grainmill.llm import components, embeddings, html, licenses, packing, pieces, quality, queries, secrets, simhash, tokenfile, tokenio, tokens, topk
+from grainmill.llm import common, components, embeddings, html, licenses, packing, pieces, quality, queries, secrets, simhash, tokenfile, tokenio, tokens, topk
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, component_id long, fingerprint string, spans string"
 #: nulls, empty, white space, ties, repeated rows, clashing extra columns, a very long text
@@ -532,6 +533,29 @@ def test_unspaced_texts_leave_nothing_behind(make):
     assert not any(len(k) > tokens.LONGEST for t in tables for k in t) and sum(map(len, tables)) < 10
 
 
+def test_a_batch_looks_each_chunk_up_once():
+    enc, lib, rng, asked = tokens.IdEncoder(tokens.default_tokenizer()), library(), random.Random(9), []
+
+    class Asked(tokens.Kept):
+        def __getitem__(self, key):
+            asked.append(key)
+            return super().__getitem__(key)
+
+    enc.table = Asked(enc._chunk, 1000)
+    some = ["\tone  two\x0bone\n", "", "two one <|endoftext|> two", " ", "two İ one", "one", *("".join(rng.choices("ab1.,'$<|> \t\n\x1cé漢\xa0", k=20)) for _ in range(300)), ""]
+    some += ["one two"] * 500
+    got = enc.encode([t.encode() for t in some])
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == [lib.encode(t, add_special_tokens=False).ids for t in some]
+    assert asked.count(b"one") == asked.count(b"two") == 1 and enc.encode([]) == []
+
+
+def test_gathered_batches_hold_all_rows():
+    many = [pa.RecordBatch.from_arrays([pa.array(["x" * n] * k)], ["t"]) for n, k in ((10, 5), (4000, 3), (1, 0), (20, 50), (90_000, 2), (3, 9))]
+    out = list(common.gathered(iter(many), 10_000))
+    assert [x for b in out for x in b.column(0).to_pylist()] == [x for b in many for x in b.column(0).to_pylist()]
+    assert all(b.num_rows == 1 or b.nbytes < 20_000 for b in out) and len(out) < 8 and not list(common.gathered(iter([]), 10))
+
+
 def check_packing(rows, t, end, capacity=4096):
     lib = library()
     use = {}
