@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import re
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -130,23 +131,34 @@ class IdEncoder:
     def _split_and_encode(self, texts: list[bytes]) -> list[bytes]:
         data = np.frombuffer(b" ".join([*texts, b""]).lower(), np.uint8)  # a space behind each text
         space = _SPACE[data]
-        at = np.flatnonzero(space)
-        size = np.diff(at, prepend=-1) - 1
+        at = np.flatnonzero(space).astype(np.int32)
+        size = np.diff(at, prepend=np.int32(-1)) - 1
         full = size > 0
-        offsets = np.concatenate([[0], np.cumsum(size)[full]]).astype(np.int32)  # of the chunks in the text without spaces
-        chunks = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data[~space])]).dictionary_encode()
-        codes = chunks.indices.to_numpy(zero_copy_only=False)
-        found = self._look_up(chunks.dictionary.to_pylist())
+        offsets = np.concatenate([[0], np.cumsum(size, dtype=np.int32)[full]], dtype=np.int32)  # of the chunks in the text without spaces
+        behind = np.searchsorted(at, np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1).astype(np.int32) - 1)  # each text's last space
+        ends = np.cumsum(full, dtype=np.int32)[behind].tolist()  # chunks up to each text's end
+        data = data[~space]
+        del space, at, size, full
+        chunks = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        codes, distinct = chunks.indices.to_numpy(zero_copy_only=False), chunks.dictionary
+        del offsets, data, chunks
+        found = self._look_up(distinct.to_pylist())
         sizes = np.fromiter(map(len, found), np.int32, len(found)) >> 1
         ids, first = np.frombuffer(b"".join(found), "<u2"), np.cumsum(sizes) - sizes
-        n = sizes[codes]
-        ends = np.cumsum(n, dtype=np.int64)
-        source = np.repeat(first[codes] - (ends - n), n)
-        source += np.arange(len(source))
-        out = ids[source].tobytes()
-        behind = np.searchsorted(at, np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1)  # each text's last space
-        ends = (np.concatenate([[0], ends])[np.cumsum(full)[behind]] * 2).tolist()
-        return [out[x:y] for x, y in zip([0, *ends], ends)]
+        out, done = [], 0
+        while done < len(ends):  # some texts at a time: positions take four times the bytes of ids
+            start = ends[done - 1] if done else 0
+            upto = max(done + 1, bisect_right(ends, start + STEP, done))
+            c = codes[start : ends[upto - 1]]
+            n = sizes[c]
+            total = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+            source = np.repeat(first[c] - total[:-1], n)
+            source += np.arange(len(source))
+            spelt = ids[source].tobytes()
+            cuts = [0, *(2 * total[np.array(ends[done:upto]) - start]).tolist()]
+            out += [spelt[x:y] for x, y in zip(cuts, cuts[1:])]
+            done = upto
+        return out
 
 
 _ENCODERS: dict[tuple[str, int], IdEncoder] = {}
