@@ -53,8 +53,10 @@ def gathered(it: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatc
     held, size = [], 0
     for b in batches(it, limit):
         if held and size + b.nbytes > limit:
-            yield pa.concat_batches(held)
-            held, size = [], 0
+            full, held, size = pa.concat_batches(held), [], 0
+            yield full
+            del full
+            pa.default_memory_pool().release_unused()
         held.append(b)
         size += b.nbytes
     if held:
