@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import difflib
 import html
+import re
 import unicodedata
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -38,6 +40,27 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
+def required(pattern: str) -> str:
+    """The longest ASCII text that every match of a pattern holds, in lower case; empty if none is known."""
+    runs = [""]
+    for op, value in re._parser.parse(pattern):
+        if op is re._constants.LITERAL and value < 128:
+            runs[-1] += chr(value)
+        else:
+            runs.append("")
+    return max(runs, key=len).lower()
+
+
+def like_any(c: Column | str, words: Sequence[str], pattern: str) -> Column:
+    """``regexp_like`` for a pattern of alternatives, run only on texts that hold what one of them requires.
+
+    Letters beyond ASCII may fold to ASCII ones, so texts with any go to the pattern.
+    """
+    text = col(c)
+    near = let(F.lower(text), lambda low: reduce(lambda a, b: a | b, [F.contains(low, F.lit(required(w))) for w in words]))
+    return (near | (F.octet_length(text) > F.length(text))) & F.regexp_like(text, F.lit(pattern))
+
+
 def arrow(kind: str):
     """An Arrow UDF that maps one value at a time and keeps nulls; needs no session to be defined."""
 
@@ -134,7 +157,11 @@ def strip_hedges(c: Column | str) -> Column:
 
 
 def has_hedge(c: Column | str) -> Column:
-    return F.regexp_like(col(c), F.lit(HEDGE))
+    return like_any(c, HEDGES, HEDGE)
+
+
+def has_result(c: Column | str) -> Column:
+    return like_any(c, _RESULT_STEMS, RESULTS)
 
 
 def numbers(c: Column | str) -> Column:
@@ -144,7 +171,7 @@ def numbers(c: Column | str) -> Column:
 
 def numbers_aligned(claim: Column | str, source: Column | str) -> Column:
     """Every number of the claim is one of the source; false without numbers."""
-    return (F.size(numbers(claim)) > 0) & (F.size(F.array_except(numbers(claim), numbers(source))) == 0)
+    return let(numbers(claim), lambda n: (F.size(n) > 0) & (F.size(F.array_except(n, numbers(source))) == 0))
 
 
 def long_words(c: Column | str) -> Column:
@@ -153,18 +180,23 @@ def long_words(c: Column | str) -> Column:
 
 def meaning_aligned(claim: Column | str, source: Column | str) -> Column:
     """Two content words at least, and a third of them, are the source's."""
-    words = F.array_distinct(long_words(claim))
-    hits = F.size(F.array_intersect(words, long_words(source)))
-    return (F.size(words) >= 2) & (hits >= F.greatest(F.lit(2), F.floor(F.size(words) / 3)))
+    enough = lambda words: (F.size(words) >= 2) & (F.size(F.array_intersect(words, long_words(source))) >= F.greatest(F.lit(2), F.floor(F.size(words) / 3)))
+    return let(F.array_distinct(long_words(claim)), enough)
 
 
 def aligned(claim: Column | str, source: Column | str) -> Column:
-    return F.when(F.size(numbers(claim)) > 0, numbers_aligned(claim, source)).otherwise(meaning_aligned(claim, source))
+    among = lambda n: F.size(F.array_except(n, numbers(source))) == 0
+    return let(numbers(claim), lambda n: F.when(F.size(n) > 0, among(n)).otherwise(meaning_aligned(claim, source)))
 
 
 def claim_absent(claim: Column | str, text: Column | str) -> Column:
     """Too few of the claim's long words (repeats count) occur in the text."""
-    words, hay = long_words(claim), F.lower(col(text))
+    # both are bound once: inside the filter the text would be folded anew for every word
+    return let(F.struct(long_words(claim).alias("words"), F.lower(col(text)).alias("hay")), lambda x: words_absent(x["words"], x["hay"]))
+
+
+def words_absent(words: Column, hay: Column) -> Column:
+    """``claim_absent`` by the claim's long words and the text in lower case."""
     hits = F.size(F.filter(words, lambda w: F.contains(hay, w)))
     return (F.size(words) < 3) | (hits < F.greatest(F.lit(2), F.floor(F.size(words) / 2)))
 

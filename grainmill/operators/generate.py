@@ -119,7 +119,7 @@ class Generator:
     # sentence pickers
     def claim_sentence(self) -> Column:
         like = lambda s, p: F.when(F.regexp_like(s, F.lit(p)), 1).otherwise(0)
-        score = lambda s: like(s, r"\d") * 2 + like(s, T.RESULTS) * 2 - like(s, T.METHODS_HEAD)
+        score = lambda s: like(s, r"\d") * 2 + F.when(T.has_result(s), 2).otherwise(0) - like(s, T.METHODS_HEAD)
         ranked = F.array_sort(F.transform(F.col("sents"), lambda s: F.struct((-score(s)).alias("k"), self._order("claim", s).alias("h"), s.alias("s"))))
         fallback = F.when(F.length("abstract") >= 40, F.trim(F.left("abstract", F.lit(200))))
         return F.coalesce(F.get(ranked, 0)["s"], fallback)
@@ -132,7 +132,7 @@ class Generator:
         return F.coalesce(self._pick(near, "numeric"), self._pick(F.filter("sents", lambda s: F.regexp_like(s, F.lit(r"\d"))), "numeric"))
 
     def semantic_sentence(self) -> Column:
-        return self._pick(F.filter("sents", lambda s: ~F.regexp_like(s, F.lit(r"\d")) & F.regexp_like(s, F.lit(T.RESULTS))), "semantic")
+        return self._pick(F.filter("sents", lambda s: ~F.regexp_like(s, F.lit(r"\d")) & T.has_result(s)), "semantic")
 
     def polarity_sentence(self) -> Column:
         return self._pick(F.filter("sents", lambda s: F.regexp_like(s, F.lit(f"(?i){POLARITY}"))), "polarity")
@@ -141,7 +141,7 @@ class Generator:
         return self._pick(F.filter("sents", lambda s: F.regexp_like(s, F.lit(f"(?i){PARTIAL}"))), "partial")
 
     def results_sentence(self) -> Column:
-        return self._pick(F.filter("sents", lambda s: F.regexp_like(s, F.lit(T.RESULTS)) & ~F.regexp_like(s, F.lit(T.METHODS_HEAD))), "results")
+        return self._pick(F.filter("sents", lambda s: T.has_result(s) & ~F.regexp_like(s, F.lit(T.METHODS_HEAD))), "results")
 
     def two_numeric(self) -> Column:
         have = F.filter("sents", lambda s: F.regexp_like(s, F.lit(r"\d")))
@@ -159,30 +159,43 @@ class Generator:
         return F.coalesce(self.methods_slice(), F.when((F.size("sents") >= 2) & (F.length(two) >= 80), two))
 
     def absent_claim(self, text: Column | str = "abstract", purpose: str = "absent") -> Column:
-        order = F.array_sort(F.transform(F.array(*[F.lit(c) for c in self.pools.absent]), lambda c: F.struct(self._order(purpose, c).alias("h"), c.alias("c"))))
-        claims = F.transform(order, lambda x: x["c"])
-        return F.coalesce(F.get(F.filter(claims, lambda c: T.claim_absent(c, text)), 0), F.get(claims, 0))
+        """The first claim in drawing order that the text does not hold; the first of all if it holds each."""
+        pool = [F.struct(self._order(purpose, F.lit(c)).alias("h"), F.lit(c).alias("c"), F.array(*[F.lit(w) for w in re.findall("[a-z]{5,}", c.lower())]).cast("array<string>").alias("words")) for c in self.pools.absent]
+        drawn = F.struct(F.array_sort(F.array(*pool)).alias("claims"), F.lower(T.col(text)).alias("hay"))
+        nth = lambda x, i: F.get(x["claims"], i)
+        # one after the other: as a rule the first is absent already
+        first = lambda x: F.coalesce(*[F.when(T.words_absent(nth(x, i)["words"], x["hay"]), nth(x, i)["c"]) for i in range(len(pool))], nth(x, 0)["c"])
+        return T.let(drawn, first)
 
     # text forms
-    def paraphrase(self, s: Column) -> Column:
+    @staticmethod
+    def _fits(s: Column, low: Column, pattern: str) -> Column:
+        """Whether a pattern matches; it runs only on texts that hold its literal part."""
+        need, hit = T.required(pattern), F.regexp_like(s, F.lit(f"(?i){pattern}"))
+        return F.contains(low, F.lit(need)) & hit if need else hit
+
+    def paraphrase(self, s: Column, low: Column | None = None) -> Column:
         """The template of the first number pattern that fits, else the sentence with a part said
-        another way; null if nothing fits or the result is too short, too long or no different."""
-        number = []
+        another way; null if nothing fits or the result is too short, too long or no different.
+
+        ``low`` is the sentence in lower case, where a column has it.
+        """
+        low, number = F.lower(s) if low is None else low, []
         for p, templates in self.pools.numeric:
             n = F.replace(F.regexp_extract(s, f"(?i){p}", 1), F.lit(","), F.lit(""))
-            number.append(F.when(F.regexp_like(s, F.lit(f"(?i){p}")), self._pick(F.array(*[F.format_string(t, n) for t in templates]), "template")))
+            number.append(F.when(self._fits(s, low, p), self._pick(F.array(*[F.format_string(t, n) for t in templates]), "template")))
         said = []
         for p, new in self.pools.rewrites:
             whole, last = f"(?i)^((?s:.*?)){p}((?s:.*))$", re.compile(p).groups + 2
             group = F.regexp_extract(s, whole, 2) if last == 3 else F.lit("")
             out = T.normalize_ws(F.concat(F.regexp_extract(s, whole, 1), F.format_string(new, group) if "%s" in new else F.lit(new), F.regexp_extract(s, whole, last)))
-            said.append(F.when(F.regexp_like(s, F.lit(f"(?i){p}")) & F.length(out).between(20, VISIBLE) & (F.lower(out) != F.lower(s)), out))
+            said.append(F.when(self._fits(s, low, p) & F.length(out).between(20, VISIBLE) & (F.lower(out) != F.lower(s)), out))
         return F.when(F.length(F.trim(s)) >= 30, F.coalesce(*number, *said))
 
-    def semantic_paraphrase(self, s: Column) -> Column:
+    def semantic_paraphrase(self, s: Column, low: Column | None = None) -> Column:
         """A sentence without numbers said another way, by its templates first."""
-        known = [F.when(F.regexp_like(s, F.lit(f"(?i){p}")), t) for p, t in self.pools.semantic]
-        return F.when(~F.regexp_like(s, F.lit(r"\d")), F.coalesce(*known, self.paraphrase(s)))
+        known = [F.when(self._fits(s, F.lower(s) if low is None else low, p), t) for p, t in self.pools.semantic]
+        return F.when(~F.regexp_like(s, F.lit(r"\d")), F.coalesce(*known, self.paraphrase(s, low)))
 
     def cite(self) -> Column:
         return C.citation(F.col("authors"), F.col("year"))
@@ -222,10 +235,9 @@ class Generator:
     def _cap(self, passage: Column) -> Column:
         return packed_excerpt(passage, F.col("clean"), F.col("parts"), EXCERPT)
 
-    def _supported(self, s: Column, para: Column, tag: str, more: Column | None = None) -> list[Build]:
+    def _supported(self, s: Column, para: Column, fits: Column, tag: str, more: Column | None = None) -> list[Build]:
         """Paraphrased rows of a sentence: whole excerpt, the sentence itself, packed excerpt."""
-        a, why, say, tell = F.col("abstract"), self.pools.supported, self._said, self._told
-        fits = F.contains(a, s) & T.aligned(para, s)
+        why, say, tell = self.pools.supported, self._said, self._told
         if more is not None:
             fits = fits & more
         claims = F.array(self.claim(para, "supported", F.array(s), why))
@@ -244,10 +256,10 @@ class Generator:
         two, sem, pol, part = (F.col(f"s_{k}") for k in ("two", "semantic", "polarity", "partial"))
         inside = lambda x: F.contains(a, x)
         out = [Build("sup", inside(s), tell(s, "sup"), cap(s), arr(self.claim(s, "supported", arr(s))), "support")]
-        out += self._supported(s, F.col("p_claim"), "")
+        out += self._supported(s, F.col("p_claim"), F.col("fit_claim"), "")
         wrong, bold, nis, away = (F.col(f"x_{k}") for k in ("wrong", "bold", "nis", "away"))
         out.append(Build("con", inside(n) & wrong.isNotNull() & ~inside(wrong) & (F.left(wrong, F.lit(VISIBLE)) != F.left(n, F.lit(VISIBLE))), tell(wrong, "con"), cap(wrong), arr(self.claim(wrong, "contradicted", arr(n), "The number differs from the source", none)), "weak"))
-        out += self._supported(n, F.col("p_numeric"), "-number", ~n.eqNullSafe(s))
+        out += self._supported(n, F.col("p_numeric"), F.col("fit_numeric"), "-number", ~n.eqNullSafe(s))
         out.append(Build("weak", inside(h) & (F.length(bold) >= 30) & (F.left(bold, F.lit(VISIBLE)) != F.left(h, F.lit(VISIBLE))) & ~T.numbers_aligned(bold, h), tell(bold, "weak"), cap(bold), arr(self.claim(bold, "weak", arr(h), "The source hedges what the passage asserts")), "weak"))
         out.append(Build("nis", none, tell(nis, "nis"), cap(tell(nis, "nis")), arr(self.claim(nis, "not_in_source", None, "The excerpt does not speak of this")), "unrelated"))
         out.append(Build("nisthin", thin.isNotNull() & T.claim_absent(away, thin), say(away), thin, arr(self.claim(away, "not_in_source", None, "The excerpt does not speak of this")), "unrelated", "sentence"))
@@ -285,8 +297,10 @@ class Generator:
         }
         p = p.withColumns({f"s_{k}": v for k, v in picks.items()} | {"cite": self.cite(), "clean": T.normalize_ws("abstract")})
         p = p.withColumns({"s_partly": F.coalesce("s_results", "s_claim"), "parts": excerpt_parts(F.col("clean"))})
-        said = {"p_claim": self.paraphrase(F.col("s_claim")), "p_numeric": self.paraphrase(F.col("s_numeric")), "p_semantic": self.semantic_paraphrase(F.col("s_semantic")), "p_partly": self.semantic_paraphrase(F.col("s_partly"))}
-        return p.withColumns(said | {"x_wrong": T.flip_number("s_numeric", VISIBLE - 1), "x_bold": T.strip_hedges("s_hedged"), "x_nis": self.absent_claim(), "x_away": self.absent_claim("s_thin", "absent-thin")})
+        p = p.withColumns({f"l_{k}": F.lower(f"s_{k}") for k in ("claim", "numeric", "semantic", "partly")})
+        said = {f"p_{k}": say(F.col(f"s_{k}"), F.col(f"l_{k}")) for k, say in (("claim", self.paraphrase), ("numeric", self.paraphrase), ("semantic", self.semantic_paraphrase), ("partly", self.semantic_paraphrase))}
+        p = p.withColumns(said | {"x_wrong": T.flip_number("s_numeric", VISIBLE - 1), "x_bold": T.strip_hedges("s_hedged"), "x_nis": self.absent_claim(), "x_away": self.absent_claim("s_thin", "absent-thin")})
+        return p.withColumns({f"fit_{k}": F.contains("abstract", F.col(f"s_{k}")) & T.aligned(f"p_{k}", f"s_{k}") for k in ("claim", "numeric")})
 
     def rows(self, papers: DataFrame, least: int = 120, kinds: Sequence[str] | None = None) -> DataFrame:
         """All rows of all papers whose abstract is long enough, numbered within the paper.

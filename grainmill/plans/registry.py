@@ -31,9 +31,20 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """A table's rows dealt over the cluster: four tasks a core, or more of 25,000 rows.
+
+    A task reads whole row groups, of up to a million rows here: what is derived from a row would be
+    computed by one or two tasks, however many cores there are.
+    """
+    n = rows.count()
+    parts = min(-(-n // 1000), max(4 * rows.sparkSession.sparkContext.defaultParallelism, -(-n // 25_000)))
+    return rows.repartition(parts) if parts > 1 else rows
+
+
 def view(spark: SparkSession, d: str, sql: str) -> DataFrame:
     """An input relation written in SQL that both engines read; ``{name}`` stands for a table."""
-    return spark.sql(sql, **{t: table(spark, d, t) for t in TABLES if "{" + t + "}" in sql})
+    return spark.sql(sql, **{t: spread(table(spark, d, t)) for t in TABLES if "{" + t + "}" in sql})
 
 
 def duck(sql: str) -> str:
