@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainmill.functions import jsonx
+from grainmill.session import materialize
 
 _RANGES = {
     "supported": ((1, 10), (46, 53)),
@@ -94,8 +95,13 @@ def mean_over_seeds(seeds: DataFrame, metrics: list[str]) -> DataFrame:
 
 
 def failing_rows(scored: DataFrame, order: str = "id") -> DataFrame:
-    """Ids of the rows that fail, a row each, in order."""
-    return scored.where(~F.col("checks_passed")).select(*dict.fromkeys(["id", order])).orderBy(order)
+    """Ids of the rows that fail, a row each, in order.
+
+    The flags are kept: a filter on them would be pushed below the scoring, which it repeats once
+    for every use of a parsed value, and a sort reads its input twice.
+    """
+    flags = materialize(scored.select(*dict.fromkeys(["id", order]), "checks_passed"), "flags")
+    return flags.where(~F.col("checks_passed")).drop("checks_passed").orderBy(order)
 
 
 def failing_ids(scored: DataFrame, order: str = "id", most: int = 10_000) -> DataFrame:

@@ -11,6 +11,7 @@ from grainmill.operators import evaluate, gates, rules
 from grainmill.operators.corpus import rank_value
 from grainmill.operators.joins import first_per_key
 from grainmill.operators.windows import chunk_excerpt, smallest_draws
+from grainmill.session import materialize
 
 
 def union_in_order(*frames: DataFrame) -> DataFrame:
@@ -52,7 +53,11 @@ def holdout(pool: DataFrame, target: int, size: int = 50, seed: int = 42, key: s
 
 
 def fraction(rows: DataFrame, share: float = 0.15, seed: int = 42, key: str = "id") -> DataFrame:
-    """A share of the rows for review, one at least, without replacement."""
+    """A share of the rows for review, one at least, without replacement.
+
+    Count, draw and pick are passes of their own: the rows are kept, not computed for each.
+    """
+    rows = materialize(rows, "reviewed")
     n = rows.count()
     return smallest_draws(rows, f"{seed}-review", key, max(1, int(n * share))) if n else rows
 
