@@ -127,7 +127,7 @@ add("eval_summary", lambda s, d: evaluate.summary(scored(s, d)), f"{_SCORED} SEL
 add("eval_summary_by_category", lambda s, d: evaluate.summary(scored(s, d), "category").withColumn("category", F.coalesce("category", F.lit("(none or all)"))), f"{_SCORED} SELECT coalesce(cat, '(none or all)') AS category, {_rates_sql()} FROM scored GROUP BY GROUPING SETS ((cat), ())")
 add("category_pass_rates", lambda s, d: evaluate.category_rates(scored(s, d)), f"{_SCORED} SELECT cat AS category, count(*) FILTER (WHERE passed) AS passed, count(*) AS total, round(avg(passed::INT), 4) AS rate FROM scored WHERE cat IS NOT NULL AND NOT missing GROUP BY cat")
 add("failing_rows", lambda s, d: evaluate.failing_rows(scored(s, d)).select("id"), f"{_SCORED} SELECT id FROM scored WHERE NOT passed")
-add("failing_ids", lambda s, d: evaluate.failing_ids(scored(s, d), most=1_000_000).select(F.array_join("failing", ",").alias("failing")), f"{_SCORED} SELECT string_agg(id, ',' ORDER BY id COLLATE \"C\") AS failing FROM scored WHERE NOT passed")
+add("failing_ids", lambda s, d: evaluate.failing_ids(scored(s, d), most=None).select(F.array_join("failing", ",").alias("failing")), f"{_SCORED} SELECT string_agg(id, ',' ORDER BY id COLLATE \"C\") AS failing FROM scored WHERE NOT passed")
 add("ids_without_prediction", lambda s, d: evaluate.missing_ids(evals(s, d), outputs(s, d)), f"{_SCORED} SELECT id FROM scored WHERE missing")
 
 
