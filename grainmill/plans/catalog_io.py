@@ -52,7 +52,7 @@ def _log(spark, d) -> str:
     e = table(spark, d, "events").select("event_id", "user_id")
     line = F.when(F.col("event_id") % 10 == 9, "").otherwise(F.format_string('{"id": "u%d", "event": %d, "doi": "https://doi.org/10.5/U%d"}', "user_id", "event_id", F.col("user_id") % 40))
     at = folder(spark, "log")
-    sinks.one_file(e.select(line.alias("value"), "event_id").coalesce(1).sortWithinPartitions("event_id").select("value"), f"{at}/log.jsonl")
+    sinks.joined_file(e.orderBy("event_id").select(line.alias("value")), f"{at}/log.jsonl")
     return f"{at}/log.jsonl"
 
 

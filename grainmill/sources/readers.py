@@ -28,11 +28,18 @@ def json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> Da
 def json_lines_numbered(spark: SparkSession, path: str) -> DataFrame:
     """``(line_no, raw)``: lines with their 1-based number; blank lines count and are left out.
 
-    Numbers need a file in one piece, so each file is one row before it is split.
+    A file is read in splits, as many tasks as it has. A line's number is the lines of the splits
+    before its own, counted first, and its place in its split: ids rise by one there.
     """
-    whole = spark.read.text(path, wholetext=True)
-    lines = whole.select(F.posexplode(F.split("value", "\n")).alias("pos", "raw"))
-    return lines.where(F.trim("raw") != "").select((F.col("pos") + 1).alias("line_no"), F.regexp_replace("raw", "\r$", "").alias("raw"))
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.col("value").alias("raw"), at.alias("at"), F.monotonically_increasing_id().alias("id"))
+    offsets, file, before = [], None, 0
+    for r in lines.groupBy("at").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).orderBy("at").collect():  # a row a split
+        file, before = r["at"]["file"], before if file == r["at"]["file"] else 0
+        offsets += [F.lit(f"{file}|{r['at']['start']}"), F.lit(before - r["first"])]
+        before += r["n"]
+    offset = F.try_element_at(F.create_map(*offsets), F.concat_ws("|", "at.file", "at.start")) if offsets else F.lit(0)
+    return lines.select((offset + F.col("id") + 1).alias("line_no"), "raw").where(F.trim("raw") != "").select("line_no", F.regexp_replace("raw", "\r$", "").alias("raw"))
 
 
 def json_lines_by_id(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -46,6 +46,26 @@ def update_rows(old: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     return out.select(*[F.when(F.col("__hit"), F.col(f"__{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c) for c in old.columns])
 
 
+def joined_file(lines: DataFrame, path: str) -> None:
+    """A sorted relation of text lines as one file: the sorted parts' bytes, one after the other."""
+    spark = lines.sparkSession
+    lines.write.mode("overwrite").text(f"{path}.tmp")
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop, spark.sparkContext._jsc.hadoopConfiguration()
+    fs = hadoop.fs.Path(path).getFileSystem(conf)
+    parts = sorted((f.getPath() for f in fs.listStatus(hadoop.fs.Path(f"{path}.tmp")) if f.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    out = fs.create(hadoop.fs.Path(path), True)
+    try:
+        for part in parts:
+            source = fs.open(part)
+            try:
+                hadoop.io.IOUtils.copyBytes(source, out, conf, False)
+            finally:
+                source.close()
+    finally:
+        out.close()
+    fs.delete(hadoop.fs.Path(f"{path}.tmp"), True)
+
+
 def one_file(lines: DataFrame, path: str) -> None:
     """A relation of text lines (one partition, in order) as one file of that very name.
 
