@@ -258,10 +258,14 @@ SWAPS: tuple[tuple[str, str], ...] = tuple(
 )
 
 
-def flip_polarity(c: Column | str, swaps: Sequence[tuple[str, str]] = SWAPS) -> Column:
-    """The text with the first swap that applies made once; null if none does."""
+def flip_polarity(c: Column | str, swaps: Sequence[tuple[str, str]] = SWAPS, ascii_words: bool = False) -> Column:
+    """The text with the first swap that applies made once; null if none does.
+
+    ``ascii_words``: only ASCII letters, digits and ``_`` are parts of words, as in RE2.
+    """
     text = col(c)
-    return F.coalesce(*[F.when(F.regexp_like(text, F.lit(rf"(?i)\b{a}\b")), F.regexp_replace(text, rf"(?is)^(.*?)\b{a}\b", f"$1{b}")) for a, b in swaps])
+    start, end = ("(?<![0-9A-Za-z_])", "(?![0-9A-Za-z_])") if ascii_words else (r"\b", r"\b")
+    return F.coalesce(*[F.when(F.regexp_like(text, F.lit(f"(?i){start}{a}{end}")), F.regexp_replace(text, f"(?is)^(.*?){start}{a}{end}", f"$1{b}")) for a, b in swaps])
 
 
 def normalize_doi(c: Column | str) -> Column:
