@@ -31,6 +31,12 @@ def test_a_view_deals_its_rows_over_the_tasks(spark, parts):
     assert rows.distinct().count() == 10_000
 
 
+def test_filters_stay_above_the_dealing(spark, parts):
+    rows = registry.view(spark, parts, "SELECT p_partkey, md5(p_name || p_partkey) AS h FROM {part}").where("h < '8'")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter") < plan.index("Repartition") and "Filter" not in plan[plan.index("Repartition") :]
+
+
 def test_required_text():
     assert T.required(r"followed for (?:a )?mean of (\d+) months") == "followed for "
     assert T.required(r"(\d+)\s*% \(95% CI") == "% (95% ci" and T.required(r"hypothesiz\w*") == "hypothesiz" and T.required(r"\d+") == ""
