@@ -324,12 +324,17 @@ def pdf_links(c: Column | str, most: int = 12) -> Column:
 
 def excerpt_preview(excerpt: Column | str, anchor: Column | str, width: int = 180) -> Column:
     """A window around the anchor with dots where it was cut; the beginning without an anchor."""
-    text, needle = col(excerpt), F.trim(F.left(F.coalesce(col(anchor), F.lit("")), F.lit(80)))
-    at = F.when(needle != "", F.instr(text, needle)).otherwise(0)
-    start, end = F.greatest(at - 50, F.lit(1)), F.least(F.length(text), at - 1 + width)
-    near = F.concat(F.when(start > 1, "...").otherwise(""), F.substring(text, start, end - start + 1), F.when(end < F.length(text), "...").otherwise(""))
+    text = col(excerpt)
     head = F.when(F.length(text) <= width, text).otherwise(F.concat(F.left(text, F.lit(width)), F.lit("...")))
-    return F.when(F.coalesce(text, F.lit("")) == "", "").when(at > 0, near).otherwise(head)
+
+    def around(at: Column) -> Column:
+        start, end = F.greatest(at - 50, F.lit(1)), F.least(F.length(text), at - 1 + width)
+        near = F.concat(F.when(start > 1, "...").otherwise(""), F.substring(text, start, end - start + 1), F.when(end < F.length(text), "...").otherwise(""))
+        return F.when(F.coalesce(text, F.lit("")) == "", "").when(at > 0, near).otherwise(head)
+
+    # the anchor may be costly, and its place is used many times: each is found once
+    needle = F.trim(F.left(F.coalesce(col(anchor), F.lit("")), F.lit(80)))
+    return let(let(needle, lambda n: F.when(n != "", F.instr(text, n)).otherwise(0)), around)
 
 
 def short_claim(c: Column | str, most: int = 80) -> Column:

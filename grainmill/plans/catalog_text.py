@@ -79,7 +79,7 @@ add("short_claims", lambda s, d: papers(s, d).select("corpus_id", T.short_claim(
 def _preview(spark, d):
     """A window of each document around its last sentence, or around words that it lacks."""
     s = T.sentences("text", 40)
-    anchor = F.when(F.col("doc_id") % 4 == 0, "no such words").otherwise(F.get(s, F.size(s) - 1))
+    anchor = F.when(F.col("doc_id") % 4 == 0, "no such words").otherwise(F.try_element_at(s, F.lit(-1)))
     return docs(spark, d).select("doc_id", F.md5(T.excerpt_preview("text", anchor)).alias("md5"))
 
 
