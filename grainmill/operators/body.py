@@ -86,14 +86,14 @@ def best_pair(sentences: Column) -> Column:
     """The first pair, neither inside the other, one with a results word; else the first two."""
     n = F.size(sentences)
     pairs = F.flatten(F.transform(sentences, lambda a, i: F.transform(F.slice(sentences, i + 2, F.greatest(n - i - 1, F.lit(0))), lambda b: F.array(a, b))))
-    good = F.filter(pairs, lambda p: ~F.contains(p[0], p[1]) & ~F.contains(p[1], p[0]) & F.regexp_like(F.concat(p[0], F.lit(" "), p[1]), F.lit(T.RESULTS)))
+    good = F.filter(pairs, lambda p: ~F.contains(p[0], p[1]) & ~F.contains(p[1], p[0]) & T.has_result(F.concat(p[0], F.lit(" "), p[1])))
     return F.when(n >= 2, F.coalesce(F.get(good, 0), F.slice(sentences, 1, 2)))
 
 
 def two_claim_passage(pair: Column) -> Column:
     """Both sentences, clipped; null if too long together or no body text."""
     joined = F.concat_ws(" ", T.clip_at_word(pair[0]), T.clip_at_word(pair[1]))
-    return F.when((F.length(joined) <= 520) & acceptable(joined, 120), joined)
+    return T.let(joined, lambda text: F.when((F.length(text) <= 520) & acceptable(text, 120), text))
 
 
 def contrastive(rows: DataFrame, order: str = "row_ord") -> DataFrame:

@@ -226,9 +226,9 @@ add(
 
 def _pairs(spark, d):
     """Two claims of a paper, and their passage."""
-    p = papers(spark, d).select("corpus_id", T.sentences("abstract", 40).alias("s"))
+    p = papers(spark, d).select("corpus_id", T.sentences("abstract", 40).alias("s")).where(F.size("s") >= 2)  # a pair of two sentences is never null
     p = p.withColumn("pair", body.best_pair(F.col("s")))
-    return p.where("pair is not null").select("corpus_id", F.array_join("pair", "|").alias("pair"), body.two_claim_passage(F.col("pair")).alias("passage"))
+    return p.select("corpus_id", F.array_join("pair", "|").alias("pair"), body.two_claim_passage(F.col("pair")).alias("passage"))
 
 
 _PAIR = f"coalesce(list_filter(flatten(list_transform(s, lambda a, i: list_transform(s[i + 1:], lambda b: [a, b]))), lambda p: NOT contains(p[1], p[2]) AND NOT contains(p[2], p[1]) AND regexp_matches(p[1] || ' ' || p[2], {lit(_RES)}))[1], s[1:2])"
