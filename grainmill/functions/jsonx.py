@@ -116,15 +116,15 @@ def failures(parsed: Column, claims: Column, expect: Column, excerpt: Column) ->
 
 def _inside(q: Column, excerpt: Column) -> Column:
     """``quote_in_excerpt`` without UDFs, as it runs inside a lambda: common entities by replacement."""
-    from grainmill.functions.text import collapse_letter_spaces, normalize_quote
+    from grainmill.functions.text import collapse_letter_spaces, let, normalize_quote
 
     def plain(c: Column) -> Column:
         for raw, new in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
             c = F.replace(c, F.lit(raw), F.lit(new))
         return normalize_quote(c, entities=False)
 
-    a, b = plain(excerpt), plain(q)
-    return F.contains(a, b) | F.contains(collapse_letter_spaces(a), collapse_letter_spaces(b)) | F.contains(a, plain(plain(q)))
+    inside = lambda x: F.contains(x["a"], x["b"]) | F.contains(collapse_letter_spaces(x["a"]), collapse_letter_spaces(x["b"])) | F.contains(x["a"], plain(x["b"]))
+    return let(F.struct(plain(excerpt).alias("a"), plain(q).alias("b")), inside)
 
 
 def failure_mode(parsed: Column, fails: Column, missing: Column) -> Column:

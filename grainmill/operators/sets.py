@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grainmill.functions.text import let
 from grainmill.operators import evaluate, gates, rules
 from grainmill.operators.corpus import rank_value
 from grainmill.operators.joins import first_per_key
@@ -94,7 +95,8 @@ def sequence_safe(rows: DataFrame, tokens: Column, limit: int = 2048, budget: in
     from grainmill.functions.jsonx import _inside
 
     capped = rows.withColumn("source_excerpt", chunk_excerpt("passage", "source_excerpt", budget))
-    quoted = F.forall("claims", lambda c: (c["verdict"] != "supported") | F.coalesce(F.forall(c["sourceQuotes"], lambda q: _inside(q, F.col("source_excerpt"))), F.lit(True)))
+    # the filter moves below the cap, so it names the capped excerpt once
+    quoted = let(F.col("source_excerpt"), lambda e: F.forall("claims", lambda c: (c["verdict"] != "supported") | F.coalesce(F.forall(c["sourceQuotes"], lambda q: _inside(q, e)), F.lit(True))))
     return capped.where(quoted).withColumn("tokens", tokens).where(F.col("tokens") <= limit)
 
 
